@@ -40,8 +40,8 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     turn = F.get_json_object("props", "$.k").cast("bigint")
     hours = e.withColumn("hour", time_of(tick_of(F.col("ts"), 3600), 3600)).groupBy("hour").agg(
-        F.round(F.avg(F.when(kind == "view", F.col("value"))), 2).alias("temp"),
-        F.round(F.sum(F.when(kind == "signup", F.col("value"))), 2).alias("rain"),
+        F.avg(F.when(kind == "view", F.col("value"))).alias("temp"),
+        F.sum(F.when(kind == "signup", F.col("value"))).alias("rain"),
         (F.sum(F.when(kind == "click", turn)) % 360).alias("turn"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(kind == "error").alias("errors"),

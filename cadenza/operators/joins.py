@@ -39,7 +39,8 @@ def lookup_join(
         return left.join(right, on, how)
     others = [c for c in left.columns if c not in on] or on
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    copies = right.withColumn("_salt", F.explode(every_salt))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 

@@ -81,8 +81,8 @@ def assign_folds(
     The bounds follow from one scalar, the last target time, so membership is an
     expression on each row and needs no join.
     """
-    end = targets.agg(start_of_day(F.max(time))).scalar()
-    t = F.col(time)
+    dated = targets.withColumn("_end", targets.agg(start_of_day(F.max(time))).scalar())
+    end, t = F.col("_end"), F.col(time)
     placed = []
     for fold in range(1, n_folds + 1):
         start = shift_time(end, days=(fold - n_folds - 1) * test_days)
@@ -93,7 +93,7 @@ def assign_folds(
         role = F.when(trains, "train").when(tests, "test")
         placed.append(F.struct(F.lit(fold).alias("fold"), role.alias("role")))
     used = F.filter(F.array(*placed), lambda p: p["role"].isNotNull())
-    return targets.withColumn("_place", F.explode(used)).select(
+    return dated.withColumn("_place", F.explode(used)).select(
         *targets.columns, F.col("_place.fold").alias("fold"), F.col("_place.role").alias("role"))
 
 

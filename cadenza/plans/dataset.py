@@ -18,19 +18,21 @@ def build_panel(
     strict: bool = False,
     borrow_from_next: bool = False,
     weather_latest_by: str | None = None,
-    pin_hourly: bool = False,
+    store: bool = True,
 ) -> DataFrame:
     """Hourly sums on a full grid, with cleaned weather if given.
 
-    ``pin_hourly`` writes the hourly sums once to the shared folder: they are
-    the last table whose making reads the raw rows, and the steps after it read
-    them more than once. Use it when the raw history is large.
+    Filling a grid or a gap reads its input twice, and these steps build on one
+    another, so each stage's result is written once to the shared folder: raw
+    rows are read once, whatever follows. ``store=False`` keeps one lazy plan.
     """
-    hourly = hourly_sum(readings, spec, strict)
-    if pin_hourly:
-        hourly = materialize(hourly, "hourly")
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        return materialize(df, label) if store else df
+
+    hourly = stage(hourly_sum(readings, spec, strict), "hourly")
     panel = densify(hourly, spec, aligned=True)
     if weather is None:
         return panel
-    joined = with_weather(panel, clean_weather(weather, spec, weather_latest_by), spec)
+    cleaned = stage(clean_weather(stage(weather, "weather"), spec, weather_latest_by), "weather")
+    joined = stage(with_weather(panel, cleaned, spec), "joined")
     return fill_panel_weather(joined, spec, borrow_from_next)

@@ -16,7 +16,7 @@ from cadenza.operators.windows import collect_windows
 from cadenza.session import cut_lineage
 from cadenza.spec import HOURLY, PanelSpec
 
-CHECKPOINT_EVERY = 6
+CHECKPOINT_EVERY = 2
 
 
 def last_windows(

@@ -26,13 +26,19 @@ def _csv_files(spark: SparkSession, pattern: str) -> list[str]:
     return files
 
 
+def allow_korean(spark: SparkSession) -> None:
+    """Let the session read and write MS949, and mark undecodable bytes instead of failing."""
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    spark.conf.set("spark.sql.legacy.codingErrorAction", "true")
+
+
 def file_encodings(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
     """Files grouped by the first encoding that decodes every one of their lines.
 
     Lines are checked where they are read, in parallel and over whole files; one
     flag per file comes back. A file that fits no encoding is an error.
     """
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    allow_korean(spark)
     lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), "value")
     korean = F.decode(F.col("value").cast("binary"), KOREAN)
     flags = lines.groupBy("file").agg(
