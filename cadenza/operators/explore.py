@@ -62,24 +62,22 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of each pair over rows where both are known, one pass.
+    """Pearson correlation of each pair over rows where both are known.
 
-    A constant column has no correlation (null).
+    Each row becomes one row per pair inside its task, combined there before
+    the shuffle of one row per pair. A constant column has no correlation (null).
     """
     pairs = list(combinations_with_replacement([c for c in columns if c in df.columns], 2))
-
-    def moments(a, b):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-    wide = df.agg(*[moments(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        for first, second in {(a, b), (b, a)}:
-            entries.append(F.struct(F.lit(first).alias("column_a"), F.lit(second).alias("column_b"),
-                                    F.col(f"_{i}").alias("correlation")))
-    return wide.select(F.inline(F.array(*entries)))
+    entries = F.array(*[
+        F.struct(F.lit(a).alias("_a"), F.lit(b).alias("_b"),
+                 F.col(a).cast("double").alias("_x"), F.col(b).cast("double").alias("_y"))
+        for a, b in pairs])
+    known = df.select(F.inline(entries)).where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    spread = F.stddev_pop("_x") * F.stddev_pop("_y")
+    upper = known.groupBy("_a", "_b").agg(F.try_divide(F.covar_pop("_x", "_y"), spread).alias("correlation"))
+    both = F.array(F.struct(F.col("_a").alias("column_a"), F.col("_b").alias("column_b")),
+                   F.struct(F.col("_b").alias("column_a"), F.col("_a").alias("column_b")))
+    return upper.select(F.inline(F.array_distinct(both)), "correlation")
 
 
 def most_frequent(df: DataFrame, column: str) -> DataFrame:

@@ -422,7 +422,7 @@ SELECT CAST(s_suppkey AS VARCHAR) AS spot_num, s_name AS spot_nm, {r('f.vol')} A
 LEFT JOIN (SELECT spot_num, arg_max(vol, datetime) AS vol FROM daily GROUP BY 1) f ON f.spot_num = CAST(s_suppkey AS VARCHAR)""",
     "idle_spots": with_(DAILY) + """
 SELECT CAST(s_suppkey AS VARCHAR) AS spot_num FROM supplier WHERE CAST(s_suppkey AS VARCHAR) NOT IN (
-  SELECT spot_num FROM shipped WHERE datetime > (SELECT max(datetime) FROM shipped) - INTERVAL 30 DAY)""",
+  SELECT spot_num FROM shipped WHERE datetime > (SELECT max(datetime) FROM shipped) - INTERVAL 2 DAY)""",
     "union_readings": with_(READINGS, HOURLY, DAILY) + f"""
 SELECT 'hourly' AS source, count(*) AS n, {r('sum(vol)', 2)} AS vol FROM hourly
 UNION ALL SELECT 'daily', count(*), {r('sum(vol)', 2)} FROM shipped""",
@@ -456,4 +456,66 @@ EXCEPT SELECT spot_num, ymd, lpad(hh, 2, '0') FROM readings""",
     + """SELECT spot_num, count(*) AS total_rows,
   count(DISTINCT CASE WHEN hh <> 'x' THEN ymd || hh END) AS hours_with_rows FROM readings GROUP BY 1""",
 }
+FOLD_ERRORS = (*BASE, """
+pos AS (SELECT *, row_number() OVER (PARTITION BY spot_num ORDER BY datetime) - 1 AS rn FROM volumes)""", FOLD_BOUNDS, """
+guesses AS (
+  SELECT a.datetime AS t, a.vol AS y_true, b.vol AS y_pred, 'Persist_' || k AS model FROM pos a
+  CROSS JOIN (SELECT unnest([1, 24]) AS k) JOIN pos b ON a.spot_num = b.spot_num AND b.rn = a.rn - k WHERE a.rn >= 24)""", f"""
+errors AS (
+  SELECT fold, model, strftime(train_start, '%Y-%m-%d') AS train_start, strftime(train_end, '%Y-%m-%d') AS train_end,
+    strftime(test_start, '%Y-%m-%d') AS test_start, CAST(5 AS INTEGER) AS test_days, {metric_columns('', None)}
+  FROM folds JOIN guesses ON t >= test_start AND t < test_end GROUP BY ALL)""")
+ORACLES["rolling_naive"] = with_(*FOLD_ERRORS) + f"""
+SELECT fold, model, train_start, train_end, test_start, test_days,
+  {r('"MAE"')} AS "MAE", {r('"RMSE"')} AS "RMSE", {r('"MAPE"', 1)} AS "MAPE" FROM errors
+UNION ALL SELECT 0, model, 'all', 'all', 'all', 15, {r('avg("MAE")')}, {r('avg("RMSE")')}, {r('avg("MAPE")', 1)}
+FROM errors GROUP BY model"""
+ORACLES["backtest_naive"] = with_(*BASE, """
+pos AS (SELECT *, row_number() OVER (PARTITION BY spot_num ORDER BY datetime) - 1 AS rn FROM volumes)""", """
+bounds AS (
+  SELECT spot_num, greatest(max(datetime) - to_days(5), min(datetime) + to_hours(25)) AS a, max(datetime) - to_hours(1) AS b
+  FROM volumes GROUP BY spot_num HAVING count(*) >= 48)""", """
+guesses AS (
+  SELECT o.spot_num, t.vol AS y_true, g.vol AS y_pred, 'y_' || k AS model
+  FROM (SELECT spot_num, unnest(generate_series(a, b, INTERVAL 6 HOUR)) AS origin FROM bounds) o
+  JOIN pos p ON p.spot_num = o.spot_num AND p.datetime = o.origin
+  JOIN pos t ON t.spot_num = p.spot_num AND t.rn = p.rn + 1
+  CROSS JOIN (SELECT unnest([1, 24]) AS k)
+  JOIN pos g ON g.spot_num = p.spot_num AND g.rn = p.rn + 1 - k)""") + f"""
+SELECT spot_num, model, {metric_columns('', 6, 'greatest(y_true, 1e-6)', 'MAPE(%)')}, count(*) AS n
+FROM guesses GROUP BY spot_num, model HAVING count(*) >= 10"""
+LATEST = """
+last_day_values AS (
+  SELECT v.spot_num, v.datetime + INTERVAL 24 HOUR AS datetime, v.vol,
+    CAST(date_diff('hour', m, v.datetime) + 24 AS INTEGER) AS step
+  FROM volumes v JOIN (SELECT spot_num, max(datetime) AS m FROM volumes GROUP BY 1 HAVING count(*) >= 24) e
+    ON v.spot_num = e.spot_num WHERE v.datetime > m - INTERVAL 24 HOUR AND v.datetime <= m - INTERVAL 18 HOUR)"""
+ORACLES["forecast_naive"] = with_(*BASE, LATEST) + f"SELECT spot_num, step, datetime, {r('vol')} AS pred_vol FROM last_day_values"
+ORACLES["busiest_naive"] = with_(*BASE, LATEST) + f"""
+SELECT s.spot_num, {r('v.vol')} AS pred_vol FROM (SELECT DISTINCT spot_num FROM readings) s
+LEFT JOIN (SELECT * FROM last_day_values WHERE step = 5) v ON v.spot_num = s.spot_num
+ORDER BY v.vol DESC NULLS LAST, s.spot_num LIMIT 50"""
+
+
+def _window_store() -> str:
+    y = "({logged} - m) / s".format(logged=logged("vol"))
+    x = "({logged} - fm) / (fs + 1e-8)".format(logged=logged("vol"))
+    rows = f"""
+pos AS (
+  SELECT *, row_number() OVER (PARTITION BY split, spot_num ORDER BY datetime) - 1 AS rn,
+    count(*) OVER (PARTITION BY split, spot_num) AS n FROM parts),
+goal AS (SELECT avg({logged('vol')}) AS m, stddev_pop({logged('vol')}) + 1e-8 AS s FROM pos WHERE split = 'train' AND rn >= 24),
+cell AS (
+  SELECT avg({logged('c.vol')}) AS fm, sqrt(greatest(var_pop({logged('c.vol')}), 1e-8)) AS fs
+  FROM pos a JOIN pos c ON a.split = c.split AND a.spot_num = c.spot_num AND c.rn BETWEEN a.rn AND a.rn + 23
+  WHERE a.split = 'train' AND a.rn < a.n - 24),
+ends AS (SELECT split, avg(vol) FILTER (WHERE rn >= 24) AS y_raw, avg({y}) FILTER (WHERE rn >= 24) AS y_scaled,
+    avg(vol) FILTER (WHERE rn >= 23 AND rn <= n - 2) AS x_raw, avg({x}) FILTER (WHERE rn >= 23 AND rn <= n - 2) AS x_scaled,
+    count(*) FILTER (WHERE rn >= 24) AS n_windows FROM pos, goal, cell GROUP BY split)"""
+    return with_(*BASE, split_of("volumes"), rows) + f"""
+SELECT 'raw' AS variant, split, n_windows, {r('y_raw')} AS mean_y, {r('x_raw')} AS mean_last_vol FROM ends
+UNION ALL SELECT 'scaled', split, n_windows, {r('y_scaled')}, {r('x_scaled')} FROM ends"""
+
+
+ORACLES["window_store"] = _window_store()
 ORACLES["metrics_files"] = ORACLES["best_model"]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,56 +24,82 @@ from cadenza.session import materialize
 from cadenza.spec import HOURLY, PanelSpec
 
 
+@dataclass
+class Fold:
+    """What a learner gets to see of one fold."""
+
+    train: DataFrame
+    frame: DataFrame
+    features: list[str]
+    window: int
+    horizon: int
+    stride: int
+    start: datetime
+    end: datetime
+    spec: PanelSpec
+
+
+def boosted_learner(trees: int = FOLD_TREES, depth: int = 6) -> Callable[[Fold], object]:
+    return lambda fold: fit_boosted(fold.train, fold.features, trees=trees, depth=depth)
+
+
+def linear_learner(fold: Fold) -> object:
+    """Scaled linear model; its scalers see the windows of the training range only."""
+    logs = fold_log_features(fold.features)
+    counted = with_window_counts(
+        fold.frame, fold.window, fold.horizon, fold.stride, fold.spec, F.lit(fold.start), F.lit(fold.end))
+    return fit_linear(
+        fold.train, fold.features, fit_feature_scaler(counted, fold.features, logs, folds=True),
+        fit_target_scaler(counted, fold.spec, folds=True), log_features=logs, epsilon=0.0)
+
+
 def rolling_evaluation(
     panel: DataFrame,
+    learners: dict[str, Callable[[Fold], object]] | None = None,
     window: int = 168,
     horizon: int = 1,
     stride: int = 1,
     n_folds: int = 4,
     test_days: int = 14,
     min_train_days: int = 90,
-    trees: int = FOLD_TREES,
-    depth: int = 6,
     min_train: int = 1000,
     min_test: int = 200,
     expanding: bool = False,
     spec: PanelSpec = HOURLY,
 ) -> DataFrame:
-    """Errors of both learners per fold: one row per fold and model, with the fold's dates.
+    """Errors of each learner per fold: one row per fold and model, with the fold's dates.
 
     Windows are written once; the driver loops over the few folds, and each fit
-    and each scoring runs on the cluster. Scalers see the training part only.
-    Folds which are too small are skipped.
+    and each scoring runs on the cluster. Folds which are too small are skipped.
     """
+    chosen = learners or {"Boosted": boosted_learner(), "Linear": linear_learner}
     ids = series_ids(panel, spec)
     frame, names = feature_frame(panel, spec, ids=ids, change="lag", gaps="zero")
     frame = materialize(frame, "features")
     windows = materialize(
         windows_with_time(frame, names, window, horizon, stride, spec, ["spot_id"]), "windows")
+    if windows.isEmpty():
+        raise ValueError("no windows: check window, horizon, stride and the length of the series")
     folds = fold_table(windows, "target_time", n_folds, test_days, min_train_days, expanding)
     sizes = fold_sizes(
         assign_folds(windows.select("target_time"), "target_time", n_folds, test_days, min_train_days, expanding),
         min_train, min_test)
     reports = []
-    for fold in folds.join(sizes.where("used"), "fold").orderBy("fold").collect():
+    for bounds in folds.join(sizes.where("used"), "fold").orderBy("fold").collect():
         t = F.col("target_time")
-        train = windows.where((t >= fold.train_start) & (t < fold.train_end))
-        test = windows.where((t >= fold.test_start) & (t < fold.test_end))
-        boosted = fit_boosted(train, names, trees=trees, depth=depth)
-        logs = fold_log_features(names)
-        counted = with_window_counts(
-            frame, window, horizon, stride, spec, F.lit(fold.train_start), F.lit(fold.train_end))
-        linear = fit_linear(
-            train, names, fit_feature_scaler(counted, names, logs, folds=True),
-            fit_target_scaler(counted, spec, folds=True), log_features=logs, epsilon=0.0)
-        scored = linear.predict(boosted.predict(test, "_boosted"), "_linear")
-        stacked = stack_models(scored, {"Boosted": "_boosted", "Linear": "_linear"}, ["y"])
+        train = windows.where((t >= bounds.train_start) & (t < bounds.train_end))
+        scored = windows.where((t >= bounds.test_start) & (t < bounds.test_end))
+        fold = Fold(train, frame, names, window, horizon, stride, bounds.train_start, bounds.train_end, spec)
+        for name, learner in chosen.items():
+            scored = learner(fold).predict(scored, f"_{name}")
+        stacked = stack_models(scored, {name: f"_{name}" for name in chosen}, ["y"])
         errors = regression_metrics(stacked, ["model"], "y")
+        day = "%Y-%m-%d"
         reports.append(errors.select(
-            F.lit(fold.fold).alias("fold"), "model",
-            F.lit(fold.train_start.strftime("%Y-%m-%d")).alias("train_start"),
-            F.lit(fold.train_end.strftime("%Y-%m-%d")).alias("train_end"),
-            F.lit(fold.test_start.strftime("%Y-%m-%d")).alias("test_start"),
+            F.lit(bounds.fold).alias("fold"), "model",
+            F.lit(bounds.train_start.strftime(day)).alias("train_start"),
+            F.lit(bounds.train_end.strftime(day)).alias("train_end"),
+            F.lit(bounds.test_start.strftime(day)).alias("test_start"),
             F.lit(test_days).alias("test_days"), "MAE", "RMSE", "MAPE"))
     if not reports:
         raise ValueError("no fold is large enough")

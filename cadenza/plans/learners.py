@@ -44,6 +44,19 @@ class BoostedTrees:
         return scored.withColumnRenamed("_prediction", name).drop("_vector")
 
 
+@dataclass
+class Persistence:
+    """The baseline as a model on windows: the value ``steps`` rows before the target of step 1."""
+
+    features: list[str]
+    steps: int = 1
+    value: str = "vol"
+
+    def predict(self, windows: DataFrame, name: str = "y_pred") -> DataFrame:
+        row = F.element_at("x", -self.steps)
+        return windows.withColumn(name, row[self.features.index(self.value)])
+
+
 def fit_boosted(
     windows: DataFrame,
     features: list[str],

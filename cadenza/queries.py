@@ -11,6 +11,7 @@ from cadenza.operators import clean, explore, features, fill, grid, joins, metri
 from cadenza.plans import baselines, dataset, evaluation, forecast, learners, selection, windowing
 from cadenza.session import materialize, scratch_path
 from cadenza.sources import payloads, tables
+from cadenza.sources.windows import load_windows, save_windows
 from cadenza.spec import DAILY, HOURLY
 from cadenza.streaming import ingest
 
@@ -236,8 +237,6 @@ def window_store(spark, d):
     """Window set written, read back and summarised."""
     panel = materialize(_panel(spark, d), "panel")
     path = scratch_path(spark, "windows")
-    from cadenza.sources.windows import load_windows, save_windows
-
     save_windows(windowing.make_windows(panel, WINDOW, spot_id=True), path)
     stored = load_windows(spark, path)
     clean.require_same_features(stored.features, features.feature_names(panel.columns, spot_id=True))
@@ -373,10 +372,10 @@ def spots_with_forecast(spark, d):
 
 
 def idle_spots(spark, d):
-    """Spots without a shipment in the last 30 days: a difference of key sets."""
+    """Spots without a shipment in the last two days: a difference of key sets."""
     daily = adapters.daily(spark, d)
     newest = daily.agg(F.max("datetime")).scalar()
-    active = daily.where(F.col("datetime") > dates.shift_time(newest, days=-30))
+    active = daily.where(F.col("datetime") > dates.shift_time(newest, days=-2))
     return sets.without(adapters.spots(spark, d).select("spot_num"), active, ["spot_num"])
 
 
@@ -565,20 +564,54 @@ def busiest_spots(spark, d):
 
 
 def rolling_eval(spark, d):
-    report = evaluation.rolling_evaluation(
-        materialize(_panel(spark, d), "panel"), WINDOW, **FOLDS, trees=3, depth=4)
-    return rounded(report, 4)
+    chosen = {"Boosted": evaluation.boosted_learner(3, 4), "Linear": evaluation.linear_learner}
+    return rounded(evaluation.rolling_evaluation(
+        materialize(_panel(spark, d), "panel"), chosen, WINDOW, **FOLDS), 4)
+
+
+def rolling_naive(spark, d):
+    """Rolling-origin errors of the two baselines, averaged over folds."""
+    chosen = {f"Persist_{k}": lambda fold, k=k: learners.Persistence(fold.features, k) for k in (1, 24)}
+    report = evaluation.rolling_evaluation(materialize(_volumes(spark, d), "panel"), chosen, WINDOW, **FOLDS)
+    means = evaluation.rolling_summary(report).withColumns({
+        "fold": F.lit(0), **{c: F.lit("all") for c in ("train_start", "train_end", "test_start")}, "test_days": F.lit(15)})
+    return rounded_errors(sets.stack([report, means]))
+
+
+def backtest_naive(spark, d):
+    panel = materialize(_volumes(spark, d), "panel")
+    models = {f"y_{k}": learners.Persistence(["vol"], k) for k in (1, 24)}
+    predictions = evaluation.backtest_predictions(panel, ["vol"], models, WINDOW, eval_days=5, stride=6)
+    return rounded_errors(evaluation.backtest_summary(predictions, list(models)))
+
+
+def forecast_naive(spark, d):
+    """Recursive forecast of every spot with the value one day earlier as the model."""
+    frame, names = features.feature_frame(materialize(_volumes(spark, d), "panel"), weather=False)
+    model = learners.Persistence(names, 24)
+    return rounded(forecast.recursive_forecast(model, forecast.last_windows(frame, names, WINDOW), names, 6))
+
+
+def busiest_naive(spark, d):
+    stations = adapters.readings(spark, d).select("spot_num").distinct()
+    return forecast.busiest_spots(stations, forecast_naive(spark, d), 5)
 
 
 def backtest(spark, d):
-    frame, names, _, made = _learning_data(spark, d)
-    train = made.where("split = 'train'")
-    boosted = learners.fit_boosted(train, names, trees=3, depth=4)
-    counted = scale.with_window_counts(frame.where("split = 'train'"), WINDOW, spec=INSIDE)
-    linear = learners.fit_linear(train, names, scale.fit_feature_scaler(counted, names), scale.fit_target_scaler(counted))
-    predictions = evaluation.backtest_predictions(
-        frame.drop("split"), names, {"y_boosted": boosted, "y_linear": linear}, WINDOW, eval_days=5, stride=6)
-    return rounded(evaluation.backtest_summary(predictions, ["y_boosted", "y_linear"]), 4)
+    panel = materialize(_panel(spark, d), "panel")
+    frame, names = features.feature_frame(panel, ids=features.series_ids(panel))
+    frame = materialize(frame, "features")
+    end = frame.agg(F.max("datetime")).scalar()
+    early = F.col("target_time") < dates.shift_time(end, days=-6)
+    train = windows.windows_with_time(frame, names, WINDOW, carry=["spot_id"]).where(early)
+    counted = scale.with_window_counts(frame.where(F.col("datetime") < dates.shift_time(end, days=-6)), WINDOW)
+    models = {
+        "y_boosted": learners.fit_boosted(train, names, trees=3, depth=4),
+        "y_linear": learners.fit_linear(
+            train, names, scale.fit_feature_scaler(counted, names), scale.fit_target_scaler(counted)),
+    }
+    predictions = evaluation.backtest_predictions(frame, names, models, WINDOW, eval_days=5, stride=6)
+    return rounded(evaluation.backtest_summary(predictions, list(models)), 4)
 
 
 QUERIES = {f.__name__: f for f in (
@@ -592,4 +625,5 @@ QUERIES = {f.__name__: f for f in (
     spots_with_forecast, idle_spots, union_readings, tm_to_lonlat, date_functions, value_functions, json_records,
     csv_encodings, panel_store, metrics_files, xml_rows, pending_work, ingest_resume, gbt_score, second_learner,
     importance_subset, recursive_forecast, busiest_spots, rolling_eval, backtest,
+    rolling_naive, backtest_naive, forecast_naive, busiest_naive,
 )}
