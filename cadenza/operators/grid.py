@@ -53,25 +53,21 @@ def densify(
 
     Only observed rows are shuffled. Each one, and a marker at the start of
     each segment, is expanded up to its successor, so the grid itself never
-    moves and no join with it is needed.
+    moves and no join with it is needed. The input is read twice (its ends,
+    then its rows): store it first if it is costly to make.
     """
     values = columns or [c for c in df.columns if c not in [*spec.series, spec.time]]
     passed = [*values, latest_by] if latest_by and latest_by not in values else values
     rows = df if aligned else df.where(on_grid(F.col(spec.time), spec.step_seconds))
     observed = rows.select(
         *spec.series, tick_of(F.col(spec.time), spec.step_seconds).alias("_tick"), *passed)
-    # The sum of non-null counts keeps the value columns in this branch, so both
-    # uses of an aggregated input share one exchange instead of scanning twice.
-    used = sum((F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in passed), F.lit(0))
-    bounds = observed.groupBy(*spec.series).agg(
-        F.min("_tick").alias("_lo"), F.max("_tick").alias("_hi"), F.sum(used).alias("_used"))
+    bounds = observed.groupBy(*spec.series).agg(F.min("_tick").alias("_lo"), F.max("_tick").alias("_hi"))
     size = spec.segment
     segments = F.sequence(segment_of(F.col("_lo"), size), segment_of(F.col("_hi"), size))
     first_of_segment = F.greatest(F.col("_lo"), F.col("_segment") * size)
     end_of_segment = F.least(F.col("_hi") + 1, (F.col("_segment") + 1) * size)
     markers = (
-        bounds.where(F.col("_used") >= 0)
-        .select(*spec.series, "_lo", "_hi", F.explode(segments).alias("_segment"))
+        bounds.select(*spec.series, "_lo", "_hi", F.explode(segments).alias("_segment"))
         .select(*spec.series, "_segment", first_of_segment.alias("_tick"),
                 end_of_segment.alias("_until"), F.lit(False).alias("_seen"))
     )
