@@ -74,7 +74,9 @@ def parse_time(text: Column) -> Column:
     dashed = F.regexp_replace(trimmed, r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})", "$1-$2-$3")
     compact = F.regexp_replace(
         trimmed, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})?$", "$1-$2-$3 $4:00:00")
-    return F.coalesce(dashed.try_cast("timestamp_ntz"), compact.try_cast("timestamp_ntz"))
+    # A cast alone would also take words such as "today".
+    return F.when(trimmed.rlike(r"^\d{4}"), F.coalesce(
+        dashed.try_cast("timestamp_ntz"), compact.try_cast("timestamp_ntz")))
 
 
 def day_series(first: Column, last: Column) -> Column:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.dates import parse_compact_hour
 from cadenza.functions.text import join_text, numeric, zero_pad
+from cadenza.session import materialize
 from cadenza.spec import HOURLY, PanelSpec
 
-BROADCAST_LIMIT = 64 << 20
+BROADCAST_LIMIT = 32 << 20
 SALTS = 32
 
 
@@ -28,11 +29,14 @@ def lookup_join(
 ) -> DataFrame:
     """Join each left row with its row of a lookup table.
 
-    A lookup of checked size is broadcast. A larger one is joined by shuffle,
-    with each left key spread over ``salts`` partitions (lookup rows are copied
-    once per salt), so no single key decides the size of a task. Use
-    ``salts=1`` where no key can be hot.
+    A lookup of checked size is broadcast. Where the estimate is too large (it
+    multiplies over joins), the lookup is stored and its real size decides. One
+    that is really large is joined by shuffle, with each left key spread over
+    ``salts`` partitions (lookup rows are copied once per salt), so no single
+    key decides the size of a task. Use ``salts=1`` where no key can be hot.
     """
+    if estimated_bytes(right) > limit:
+        right = materialize(right, "lookup")
     if estimated_bytes(right) <= limit:
         return left.join(F.broadcast(right), on, how)
     if salts <= 1:

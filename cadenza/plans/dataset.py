@@ -35,4 +35,5 @@ def build_panel(
         return panel
     cleaned = stage(clean_weather(stage(weather, "weather"), spec, weather_latest_by), "weather")
     joined = stage(with_weather(panel, cleaned, spec), "joined")
-    return fill_panel_weather(joined, spec, borrow_from_next)
+    ordered = joined.select(spec.key, spec.time, spec.value, *[c for c in joined.columns if c not in panel.columns])
+    return fill_panel_weather(ordered, spec, borrow_from_next)
