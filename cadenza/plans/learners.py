@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -26,6 +26,7 @@ DEPTH = 6
 ROW_SHARE = 0.9
 COLUMN_SHARE = "0.9"
 SEED = 42
+VARIED = 1e-9
 # Features the second learner always keeps, in order.
 ALWAYS_KEEP = ("vol", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_weekend")
 
@@ -119,7 +120,7 @@ class ScaledLinear:
         scored = self.model.transform(prepared)
         mean, std = (F.lit(v) for v in self.target)
         return scored.withColumn(name, inverse_target(F.col("_prediction"), mean, std)).drop(
-            "_vector", "_spot", "_all", "_prediction")
+            "_vector", "_spot", "_all", "_varied", "_prediction")
 
     def _vector(self) -> Column:
         x = pick_features(F.col("x"), self.have, self.features)
@@ -157,7 +158,9 @@ def fit_linear(
     stages = [
         OneHotEncoder(inputCol="spot_id", outputCol="_spot", handleInvalid="keep"),
         VectorAssembler(inputCols=["_vector", "_spot"], outputCol="_all"),
-        LinearRegression(featuresCol="_all", labelCol="_goal", predictionCol="_prediction",
+        # Cells that never change in training carry only rounding noise.
+        VarianceThresholdSelector(featuresCol="_all", outputCol="_varied", varianceThreshold=VARIED),
+        LinearRegression(featuresCol="_varied", labelCol="_goal", predictionCol="_prediction",
                          regParam=regularization, standardization=False),
     ]
     fitted.model = Pipeline(stages=stages).fit(train)

@@ -59,7 +59,7 @@ def read_csv(
     drift: bool = False,
     provenance: str | None = None,
 ) -> DataFrame:
-    """All CSV files of a pattern, whatever their encoding, as text columns.
+    """All CSV files of a pattern, whatever their encoding, as text columns with trimmed headers.
 
     ``schema`` fixes the columns (else the header of the files does). With
     ``drift`` the headers may differ from file to file: columns are matched by
@@ -76,7 +76,7 @@ def read_csv(
             batches = list(by_header.values())
         for batch in batches:
             typed = reader.schema(schema) if schema is not None else reader
-            frame = typed.csv(batch)
+            frame = trim_headers(typed.csv(batch))
             if provenance:
                 frame = frame.select("*", F.col("_metadata.file_name").alias(provenance))
             frames.append(frame)
@@ -122,7 +122,7 @@ def append_history(rows: DataFrame, path: str) -> None:
 
 def read_metrics(spark: SparkSession, pattern: str) -> DataFrame:
     """Metrics files with trimmed headers, numbers coerced, and ``metrics_file``."""
-    frame = trim_headers(read_csv(spark, pattern, drift=True, provenance="metrics_file"))
+    frame = read_csv(spark, pattern, drift=True, provenance="metrics_file")
     require_columns(frame, ["model"])
     numbers = [c for c in frame.columns if c not in ("model", "metrics_file")]
     return frame.withColumns({"model": F.col("model").cast("string"), **{c: numeric(frame, c) for c in numbers}})
