@@ -13,13 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readings(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
     """Events as raw detector rows: all text, some hours and volumes unreadable."""
     e = table(spark, sf_dir, "events")
     bad_hour = F.col("event_id") % 97 == 0
     late_hour = F.col("event_id") % 89 == 0
     bad_volume = F.col("event_id") % 83 == 0
     return e.select(
+        *(["event_id"] if with_id else []),
         F.concat("event_type", F.lit("-"), F.col("user_id") % 10).alias("spot_num"),
         date_text(F.col("ts"), "yyyyMMdd").alias("ymd"),
         F.when(bad_hour, "x").when(late_hour, "24").otherwise(F.hour("ts").cast("string")).alias("hh"),

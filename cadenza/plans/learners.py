@@ -16,7 +16,7 @@ from cadenza.functions.scaling import clipped_log, inverse_target, standardize,
 from cadenza.operators.clean import require_same_features
 from cadenza.operators.rank import importance_by_feature, top_features
 from cadenza.operators.scale import IDENTITY_FEATURE, LOG_FEATURES
-from cadenza.session import shared_dir
+from cadenza.session import materialize, shared_dir
 
 # Settings of the boosted learner, and of its use in rolling folds.
 TREES = 800
@@ -155,6 +155,7 @@ def fit_linear(
     train = windows.select(
         "spot_id", fitted._vector().alias("_vector"),
         transform_target(F.col("y"), F.lit(goal["mean"]), F.lit(goal["std"])).alias("_goal"))
+    train = materialize(train, "scaled")  # each stage below reads it
     stages = [
         OneHotEncoder(inputCol="spot_id", outputCol="_spot", handleInvalid="keep"),
         VectorAssembler(inputCols=["_vector", "_spot"], outputCol="_all"),

@@ -464,18 +464,23 @@ def metrics_files(spark, d):
 
 
 def _requests(spark, d):
-    """Readings as stored responses: one XML payload per spot, day and hour."""
-    raw = adapters.readings(spark, d)
+    """Readings as stored responses: XML payloads per spot, day and hour.
+
+    As at the service, no response has more than 1000 rows, however many a unit
+    has: rows of one unit are parted by ranges of their (unique) event id.
+    """
+    raw = adapters.readings(spark, d, with_id=True).withColumn("page", F.floor(F.col("event_id") / 1000))
     cell = F.concat(
         F.lit("<row><lane_num> "), "lane_num", F.lit(" </lane_num><io_type>"), "io_type",
         F.lit("</io_type><vol>"), "vol", F.lit("</vol><unit>pcu</unit></row>"))
-    units = raw.groupBy("spot_num", "ymd", "hh").agg(
+    responses = raw.groupBy("spot_num", "ymd", "hh", "page").agg(
         F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list(cell)), "").alias("cells"))
     payload = F.concat(
         F.lit("<VolInfo><list_total_count>"), F.col("n").cast("string"),
         F.lit("</list_total_count><RESULT><CODE>INFO-000</CODE><MESSAGE>ok</MESSAGE></RESULT>"), "cells",
         F.lit("</VolInfo>"))
-    return units.select("spot_num", "ymd", "hh", payload.alias("payload"))
+    return responses.select(
+        "spot_num", "ymd", "hh", (F.col("page") * 1000 + 1).alias("start"), payload.alias("payload"))
 
 
 def xml_rows(spark, d):

@@ -54,10 +54,13 @@ def volume_rows(parsed: DataFrame) -> DataFrame:
 
     ``spot_num, ymd, hh`` come from the request where the row lacks them; hour,
     lane and volume are coerced; tags without a column stay in ``extra``.
-    ``row_no`` is the place in the response.
+    ``row_no`` is the place in the answer to the request: a long answer comes in
+    several responses, each with the ``start`` index of its first row.
     """
     fine = parsed.where(F.col("code").isNull() | (F.col("code") == OK_CODE))
-    rows = fine.select("spot_num", "ymd", "hh", F.posexplode("rows").alias("row_no", "_row"))
+    rows = fine.select(
+        "spot_num", "ymd", "hh", F.coalesce("start", F.lit(1)).alias("_start"),
+        F.posexplode("rows").alias("_place", "_row"))
     extra = F.map_filter("_row", lambda k, _: ~k.isin(VOLUME_FIELDS))
     return rows.select(
         F.coalesce(_field("spot_num"), F.col("spot_num")).alias("spot_num"),
@@ -66,7 +69,7 @@ def volume_rows(parsed: DataFrame) -> DataFrame:
         text_to_number(_field("lane_num")).alias("lane_num"),
         _field("io_type").alias("io_type"),
         text_to_number(_field("vol")).alias("vol"),
-        "row_no", extra.alias("extra"))
+        (F.col("_start") + F.col("_place")).alias("row_no"), extra.alias("extra"))
 
 
 def spot_rows(parsed: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cadenza.functions.dates import day_series, parse_ymd
 from cadenza.sources.payloads import parse_payloads, volume_rows
 
-REQUEST_SCHEMA = "spot_num STRING, ymd STRING, hh STRING, payload STRING"
+REQUEST_SCHEMA = "spot_num STRING, ymd STRING, hh STRING, start BIGINT, payload STRING"
 UNIT = ["spot_num", "ymd", "hh"]
 
 

@@ -75,9 +75,9 @@ CELL = "<row><spot_num>Z</spot_num><lane_num> 1 </lane_num><vol>12</vol><odd>q</
 @pytest.fixture
 def parsed(spark):
     data = [
-        ("a", "20240101", "07", xml(CELL + "<row><hh>8</hh><vol></vol></row>")),
-        ("b", "20240101", "07", xml("", total="abc")), ("c", "20240101", "07", xml(CELL, code="ERROR-300")),
-        ("d", "20240101", "07", "quota\nexceeded" * 40),
+        ("a", "20240101", "07", None, xml(CELL + "<row><hh>8</hh><vol></vol></row>")),
+        ("b", "20240101", "07", None, xml("", total="abc")), ("c", "20240101", "07", 1, xml(CELL, code="ERROR-300")),
+        ("d", "20240101", "07", 1, "quota\nexceeded" * 40),
     ]
     df = spark.createDataFrame(data, ingest.REQUEST_SCHEMA)
     return payloads.parse_payloads(df)
@@ -98,6 +98,12 @@ def test_volume_rows(parsed):
         ("Z", "20240101", 7.0, 1.0, 12.0, {"odd": "q"}), ("a", "20240101", 8.0, None, None, {})]
 
 
+def test_pages_of_one_unit_are_kept_apart(spark):
+    data = [("a", "20240101", "07", start, xml(CELL)) for start in (1, 1001, 1001)]
+    rows = payloads.volume_rows(payloads.parse_payloads(spark.createDataFrame(data, ingest.REQUEST_SCHEMA)))
+    assert sorted(r.row_no for r in rows.drop("extra").dropDuplicates().collect()) == [1, 1001]
+
+
 def test_spot_rows(spark, parsed):
     with pytest.raises(PySparkException):
         payloads.spot_rows(parsed).collect()
@@ -128,7 +134,7 @@ def test_published_call_counters(spark, spots, first, last, calls):
 
 def test_ingest_resumes_and_drops_redelivered_units(spark, folder):
     def deliver(name, units):
-        spark.createDataFrame([(s, "20240101", h, xml(CELL * n)) for s, h, n in units], ingest.REQUEST_SCHEMA).coalesce(
+        spark.createDataFrame([(s, "20240101", h, 1, xml(CELL * n)) for s, h, n in units], ingest.REQUEST_SCHEMA).coalesce(
             1).write.parquet(f"{folder}/in/{name}")
 
     def run():
@@ -143,7 +149,7 @@ def test_ingest_resumes_and_drops_redelivered_units(spark, folder):
     run()
     assert ingest.completed_units(spark, f"{folder}/out").count() == 5
     rows = ingest.ingested_rows(spark, f"{folder}/out")
-    assert sorted((r.hh, r.row_no) for r in rows.collect()) == [(1.0, 0), (1.0, 1), (3.0, 0)]
+    assert sorted((r.hh, r.row_no) for r in rows.collect()) == [(1.0, 1), (1.0, 2), (3.0, 1)]
 
 
 def test_append_history(spark, folder):
