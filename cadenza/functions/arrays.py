@@ -21,7 +21,7 @@ def pick_features(x: Column, have: list[str], want: list[str]) -> Column:
     Unknown names are skipped; nothing known means nothing is dropped.
     """
     indexes = [have.index(name) for name in want if name in have]
-    if not indexes:
+    if not indexes or indexes == list(range(len(have))):
         return x
     return F.transform(x, lambda step: F.array(*[step[i] for i in indexes]))
 

@@ -6,6 +6,8 @@ daylight saving neither drops nor repeats a step of a grid.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,11 @@ def time_of(tick: Column, step_seconds: int) -> Column:
     return F.expr(EPOCH) + F.make_dt_interval(zero, zero, zero, tick * F.lit(step_seconds))
 
 
+def moment(value: datetime) -> Column:
+    """A Python local time as a literal without a zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def on_grid(time: Column, step_seconds: int) -> Column:
     return time == time_of(tick_of(time, step_seconds), step_seconds)
 

@@ -2,25 +2,37 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.functions.dates import shift_time, start_of_day, tick_of
+from cadenza.functions.dates import moment, shift_time, start_of_day, tick_of
 from cadenza.operators.joins import lookup_join
 from cadenza.operators.segments import ordered_index, segment_of
 from cadenza.spec import HOURLY, PanelSpec
 
 
-def _cut(df: DataFrame, per_tick: DataFrame, total: Column, ratio: float, spec: PanelSpec) -> tuple[Column, Column]:
-    """Step and key of the first row past ``int(n * ratio)`` rows in (time, key) order."""
-    position = F.floor(total * F.lit(ratio))
-    cut = per_tick.where((F.col("_start") <= position) & (position < F.col("_start") + F.col("_rows"))).select(
-        F.col("_tick").alias("_cut_tick"), (position - F.col("_start")).alias("_skip"))
-    tick = cut.select("_cut_tick").scalar()
-    at_cut = df.where(tick_of(F.col(spec.time), spec.step_seconds) == tick).select(spec.key)
-    ranked = ordered_index(at_cut, [spec.key], "_rank")
-    key = ranked.where(F.col("_rank") == cut.select("_skip").scalar()).select(spec.key).scalar()
-    return tick, key
+def _rows_before(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Per time: its rows, the rows before it, and the rows of all times."""
+    counts = df.groupBy(spec.time).agg(F.count(F.lit(1)).alias("rows")).withColumn(
+        "_block", segment_of(tick_of(F.col(spec.time), spec.step_seconds), spec.segment))
+    blocks = counts.groupBy("_block").agg(F.sum("rows").alias("_block_rows"))
+    before = (Window.unboundedPreceding, -1)
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+    along = Window.orderBy("_block")  # one row per block of times
+    shifts = blocks.select(
+        "_block", F.coalesce(F.sum("_block_rows").over(along.rowsBetween(*before)), F.lit(0)).alias("_shift"),
+        F.sum("_block_rows").over(along.rowsBetween(*whole)).alias("total"))
+    running = F.sum("rows").over(Window.partitionBy("_block").orderBy(spec.time).rowsBetween(*before))
+    return counts.join(shifts, "_block").select(
+        spec.time, "rows", (F.coalesce(running, F.lit(0)) + F.col("_shift")).alias("before"), "total")
+
+
+def _key_at(df: DataFrame, time: datetime, skip: int, spec: PanelSpec):
+    """The key with ``skip`` smaller keys among the rows of one time."""
+    keys = df.where(F.col(spec.time) == moment(time)).select(spec.key)
+    return ordered_index(keys, [spec.key], "_rank").where(F.col("_rank") == skip).first()[spec.key]
 
 
 def chronological_split(
@@ -28,29 +40,29 @@ def chronological_split(
 ) -> DataFrame:
     """Label rows "train", "val" or "test" by their place in (time, key) order.
 
-    No global sort: rows are counted per step, the step with the cut row is
-    found from running counts (per segment of steps, plus one row per segment),
-    and only the keys of that one step are ranked.
+    The first ``int(n * train)`` rows train, those up to ``int(n * (train + val))``
+    validate. No global sort: rows are counted per time (running counts per
+    block of times, plus one row per block), and only the keys of the two times
+    that hold a cut are ranked. These two (time, key) pairs are all the driver
+    learns; the label itself is a comparison with constants.
     """
-    tick = tick_of(F.col(spec.time), spec.step_seconds)
-    counts = df.groupBy(tick.alias("_tick")).agg(F.count(F.lit(1)).alias("_rows"))
-    counts = counts.withColumn("_block", segment_of(F.col("_tick"), spec.segment))
-    blocks = counts.groupBy("_block").agg(F.sum("_rows").alias("_block_rows"))
-    before = (Window.unboundedPreceding, -1)
-    shifts = blocks.select("_block", F.coalesce(
-        F.sum("_block_rows").over(Window.orderBy("_block").rowsBetween(*before)), F.lit(0)).alias("_shift"))
-    running = F.sum("_rows").over(Window.partitionBy("_block").orderBy("_tick").rowsBetween(*before))
-    per_tick = counts.join(shifts, "_block").select(
-        "_tick", "_rows", (F.coalesce(running, F.lit(0)) + F.col("_shift")).alias("_start"))
-    total = blocks.agg(F.sum("_block_rows")).scalar()
+    ratios = [train, train + val]
+    places = _rows_before(df, spec)
+    hit = [(F.col("before") <= F.floor(F.col("total") * F.lit(q)))
+           & (F.floor(F.col("total") * F.lit(q)) < F.col("before") + F.col("rows")) for q in ratios]
+    found = places.where(hit[0] | hit[1]).collect()  # at most two rows
 
     def comes_before(ratio: float) -> Column:
-        cut_tick, cut_key = _cut(df, per_tick, total, ratio, spec)
-        return (F.coalesce(tick < cut_tick, F.lit(True))
-                | ((tick == cut_tick) & (F.col(spec.key) < cut_key)))
-
-    return df.withColumn(name, F.when(comes_before(train), "train")
-                         .when(comes_before(train + val), "val").otherwise("test"))
+        for row in found:
+            skip = int(row["total"] * ratio) - row["before"]
+            if 0 <= skip < row["rows"]:
+                time = moment(row[spec.time])
+                key = F.lit(_key_at(df, row[spec.time], skip, spec))
+                return (F.col(spec.time) < time) | ((F.col(spec.time) == time) & (F.col(spec.key) < key))
+        return F.lit(True)
+
+    return df.withColumn(name, F.when(comes_before(ratios[0]), "train")
+                         .when(comes_before(ratios[1]), "val").otherwise("test"))
 
 
 def fold_table(

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.dates import date_text, shift_time
+from cadenza.functions.dates import date_text, moment, shift_time, tick_of
 from cadenza.operators.features import feature_frame, series_ids
 from cadenza.operators.joins import lookup_join
 from cadenza.operators.metrics import mean_by_model, metrics_by_spot, regression_metrics, stack_models
@@ -18,7 +18,6 @@ from cadenza.operators.scale import (
 from cadenza.operators.sets import stack
 from cadenza.operators.split import assign_folds, fold_sizes, fold_table, origin_bounds
 from cadenza.operators.windows import windows_with_time
-from cadenza.functions.dates import tick_of
 from cadenza.plans.learners import FOLD_TREES, fit_boosted, fit_linear
 from cadenza.session import materialize
 from cadenza.spec import HOURLY, PanelSpec
@@ -47,7 +46,7 @@ def linear_learner(fold: Fold) -> object:
     """Scaled linear model; its scalers see the windows of the training range only."""
     logs = fold_log_features(fold.features)
     counted = with_window_counts(
-        fold.frame, fold.window, fold.horizon, fold.stride, fold.spec, F.lit(fold.start), F.lit(fold.end))
+        fold.frame, fold.window, fold.horizon, fold.stride, fold.spec, moment(fold.start), moment(fold.end))
     return fit_linear(
         fold.train, fold.features, fit_feature_scaler(counted, fold.features, logs, folds=True),
         fit_target_scaler(counted, fold.spec, folds=True), log_features=logs, epsilon=0.0)
@@ -87,8 +86,8 @@ def rolling_evaluation(
     reports = []
     for bounds in folds.join(sizes.where("used"), "fold").orderBy("fold").collect():
         t = F.col("target_time")
-        train = windows.where((t >= bounds.train_start) & (t < bounds.train_end))
-        scored = windows.where((t >= bounds.test_start) & (t < bounds.test_end))
+        train = windows.where((t >= moment(bounds.train_start)) & (t < moment(bounds.train_end)))
+        scored = windows.where((t >= moment(bounds.test_start)) & (t < moment(bounds.test_end)))
         fold = Fold(train, frame, names, window, horizon, stride, bounds.train_start, bounds.train_end, spec)
         for name, learner in chosen.items():
             scored = learner(fold).predict(scored, f"_{name}")
