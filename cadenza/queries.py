@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cadenza import adapters
 from cadenza.functions import arrays, dates, encode, geo, records, scaling, text
 from cadenza.operators import clean, explore, features, fill, grid, joins, metrics, rank, scale, sets, split, windows
-from cadenza.plans import baselines, dataset, evaluation, forecast, learners, selection, windowing
+from cadenza.plans import baselines, dataset, evaluation, forecast, learners, selection, training, windowing
 from cadenza.session import materialize, scratch_path
 from cadenza.sources import payloads, tables
 from cadenza.sources.windows import load_windows, save_windows
@@ -476,9 +476,9 @@ def _requests(spark, d):
     responses = raw.groupBy("spot_num", "ymd", "hh", "page").agg(
         F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list(cell)), "").alias("cells"))
     payload = F.concat(
-        F.lit("<VolInfo><list_total_count>"), F.col("n").cast("string"),
+        F.lit("<Readings><list_total_count>"), F.col("n").cast("string"),
         F.lit("</list_total_count><RESULT><CODE>INFO-000</CODE><MESSAGE>ok</MESSAGE></RESULT>"), "cells",
-        F.lit("</VolInfo>"))
+        F.lit("</Readings>"))
     return responses.select(
         "spot_num", "ymd", "hh", (F.col("page") * 1000 + 1).alias("start"), payload.alias("payload"))
 
@@ -550,6 +550,12 @@ def importance_subset(spark, d):
     return _scored_summary(fitted.predict(test), "y_pred")
 
 
+def train_compare(spark, d):
+    """Baselines, boosted trees and the second learner on one test part, best first."""
+    panel = materialize(_panel(spark, d), "panel")
+    return rounded(training.train_and_compare(panel, WINDOW, trees=3, depth=4, top_k=8, lags=LAGS, tag="_w24"), 4)
+
+
 def _forecast(spark, d, k):
     panel = materialize(_panel(spark, d), "panel")
     frame, names = features.feature_frame(panel, ids=features.series_ids(panel))
@@ -629,6 +635,6 @@ QUERIES = {f.__name__: f for f in (
     histogram_50, corr_matrix, mode_spot, top50, head50, sorted_spots, label_at_horizon, forecast_join,
     spots_with_forecast, idle_spots, union_readings, tm_to_lonlat, date_functions, value_functions, json_records,
     csv_encodings, panel_store, metrics_files, xml_rows, pending_work, ingest_resume, gbt_score, second_learner,
-    importance_subset, recursive_forecast, busiest_spots, rolling_eval, backtest,
+    importance_subset, train_compare, recursive_forecast, busiest_spots, rolling_eval, backtest,
     rolling_naive, backtest_naive, forecast_naive, busiest_naive,
 )}

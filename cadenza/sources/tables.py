@@ -27,9 +27,8 @@ def _csv_files(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def allow_korean(spark: SparkSession) -> None:
-    """Let the session read and write MS949, and mark undecodable bytes instead of failing."""
+    """Let the session read and write MS949."""
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    spark.conf.set("spark.sql.legacy.codingErrorAction", "true")
 
 
 def file_encodings(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
@@ -39,13 +38,20 @@ def file_encodings(spark: SparkSession, files: list[str]) -> dict[str, list[str]
     flag per file comes back. A file that fits no encoding is an error.
     """
     allow_korean(spark)
-    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), "value")
-    korean = F.decode(F.col("value").cast("binary"), KOREAN)
-    flags = lines.groupBy("file").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("unicode"),
-        F.bool_and(~F.contains(korean, F.lit(REPLACEMENT))).alias("korean"))
+    # While checking, undecodable bytes become a mark instead of an error.
+    lenient = "spark.sql.legacy.codingErrorAction"
+    before = spark.conf.get(lenient)
+    spark.conf.set(lenient, "true")
+    try:
+        lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), "value")
+        korean = F.decode(F.col("value").cast("binary"), KOREAN)
+        checked = lines.groupBy("file").agg(
+            F.bool_and(F.is_valid_utf8("value")).alias("unicode"),
+            F.bool_and(~F.contains(korean, F.lit(REPLACEMENT))).alias("korean")).collect()
+    finally:
+        spark.conf.set(lenient, before)
     groups: dict[str, list[str]] = {}
-    for row in flags.collect():
+    for row in checked:
         if not (row.unicode or row.korean):
             raise UnicodeError(f"{row.file}: neither {UNICODE} nor {KOREAN}")
         groups.setdefault(UNICODE if row.unicode else KOREAN, []).append(row.file)
@@ -58,16 +64,22 @@ def read_csv(
     schema: T.StructType | str | None = None,
     drift: bool = False,
     provenance: str | None = None,
+    encoding: str | None = None,
 ) -> DataFrame:
     """All CSV files of a pattern, whatever their encoding, as text columns with trimmed headers.
 
     ``schema`` fixes the columns (else the header of the files does). With
     ``drift`` the headers may differ from file to file: columns are matched by
-    name. ``provenance`` names a column for the file name.
+    name. ``provenance`` names a column for the file name. Detection reads every
+    file once more; a known ``encoding`` avoids that.
     """
     frames = []
-    for encoding, files in sorted(file_encodings(spark, _csv_files(spark, pattern)).items()):
-        reader = spark.read.option("header", True).option("encoding", encoding)
+    files = _csv_files(spark, pattern)
+    if encoding == KOREAN:
+        allow_korean(spark)
+    groups = {encoding: files} if encoding else file_encodings(spark, files)
+    for charset, files in sorted(groups.items()):
+        reader = spark.read.option("header", True).option("encoding", charset)
         batches = [files]
         if drift:
             by_header: dict[tuple[str, ...], list[str]] = {}
@@ -83,9 +95,10 @@ def read_csv(
     return stack(frames)
 
 
-def read_history(spark: SparkSession, pattern: str, drift: bool = False) -> DataFrame:
+def read_history(
+    spark: SparkSession, pattern: str, drift: bool = False, encoding: str | None = None) -> DataFrame:
     """Raw history files; every column is text, with ``source_file``."""
-    return read_csv(spark, pattern, drift=drift, provenance="source_file")
+    return read_csv(spark, pattern, drift=drift, provenance="source_file", encoding=encoding)
 
 
 def as_panel(df: DataFrame, spec: PanelSpec = HOURLY) -> DataFrame:
@@ -109,8 +122,9 @@ def read_panel(spark: SparkSession, path: str, fmt: str = "parquet", spec: Panel
 
 
 def write_panel(panel: DataFrame, path: str, spec: PanelSpec = HOURLY, by: list[str] | None = None) -> None:
-    """A panel as Parquet, clustered so that a filter on one series skips row groups."""
-    ordered = panel.sortWithinPartitions(spec.key, spec.time)
+    """A panel as Parquet, in ranges of (key, time): a filter on either skips files and
+    row groups, and a dominant series spreads over several files."""
+    ordered = panel.repartitionByRange(spec.key, spec.time).sortWithinPartitions(spec.key, spec.time)
     writer = ordered.write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).parquet(path)
 

@@ -5,7 +5,8 @@ from conftest import at
 from pyspark.sql import functions as F
 
 from cadenza.operators import features, scale, windows
-from cadenza.plans import baselines, evaluation, forecast, learners
+from cadenza.operators.metrics import regression_metrics
+from cadenza.plans import baselines, evaluation, forecast, learners, training
 from cadenza.session import materialize
 
 W = 6
@@ -37,13 +38,20 @@ def test_learners_beat_the_last_value(data, models):
     test = made.where(F.col("target_time") >= at(24 * 9))
     scored = models[1].predict(models[0].predict(test, "boosted"), "linear")
     naive = baselines.naive_forecast(panel.where(F.col("datetime") >= at(24 * 9)), 1)
-    from cadenza.operators.metrics import regression_metrics
     floor = regression_metrics(naive).first().RMSE
     for column in ("boosted", "linear"):
         assert regression_metrics(scored, None, "y", column).first().RMSE < floor
     assert scored.count() == test.count()
 
 
+def test_train_and_compare_ranks_all_models(data):
+    panel, _, _, _ = data
+    got = training.train_and_compare(panel, W, trees=3, depth=4, top_k=3, lags={"Last": 1, "Day": 24}, tag="_w6").collect()
+    assert {r.model for r in got} == {"Last", "Day", "Boosted_w6", "Linear_w6"}
+    assert [r.RMSE for r in got] == sorted(r.RMSE for r in got)
+    assert got[0].model == "Day" and got[0].RMSE == 0.0
+
+
 def test_importances_lead_to_a_subset(data, models):
     _, _, names, made = data
     cells = learners.cell_importances(models[0], made)

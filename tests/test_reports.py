@@ -68,13 +68,13 @@ def test_best_model_rules(spark):
 
 def test_selection_record(spark):
     # Published hold-out errors.
-    df = frame(spark, [("XGB_w24", 157.089, 326.307, 1.523e9, "metrics_w24.csv"),
-                       ("XGB_w168", 143.084, 266.377, 5.433e8, "metrics_w168.csv"),
-                       ("GRU_w24", 205.359, 377.941, 8.777e7, "metrics_w24.csv")], REPORT)
+    df = frame(spark, [("XGB_w24", 157.089, 326.307, 1.523e9, "run_a.csv"),
+                       ("XGB_w168", 143.084, 266.377, 5.433e8, "run_b.csv"),
+                       ("GRU_w24", 205.359, 377.941, 8.777e7, "run_a.csv")], REPORT)
     registry = frame(spark, [("XGB_w168", "models/x"), ("XGB_w168_sid", "models/y")], "model string, artifact_path string")
     got = selection.selection_record(df, registry=registry).first()
     assert (got.final_model_name, got.window, got.artifact_path) == ("XGB_w168", 168, "models/x")
-    assert got.metrics.RMSE == 266.377 and got.source_metrics_file == "metrics_w168.csv"
+    assert got.metrics.RMSE == 266.377 and got.source_metrics_file == "run_b.csv"
 
 
 def test_importance_and_top_features(spark):

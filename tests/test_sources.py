@@ -17,17 +17,19 @@ def write(path, text, encoding="utf-8"):
 
 
 def test_mixed_encodings_and_drifting_headers(spark, folder):
-    write(f"{folder}/traffic_volume_history_1.csv", "spot_num,ymd,hh,vol\nA-01,20240101,7,10\n", "utf-8-sig")
-    write(f"{folder}/traffic_volume_history_2.csv", "spot_num,ymd,hh,vol,이름\n007,20240101,8,5,성산로\n", "cp949")
-    write(f"{folder}/traffic_volume_history_3.csv", "spot_num,ymd,hh,vol,이름\nB,20240101,8,5,사직로\n", "utf-8")
+    write(f"{folder}/history_1.csv", "spot_num,ymd,hh,vol\nA-01,20240101,7,10\n", "utf-8-sig")
+    write(f"{folder}/history_2.csv", "spot_num,ymd,hh,vol,이름\n007,20240101,8,5,성산로\n", "cp949")
+    write(f"{folder}/history_3.csv", "spot_num,ymd,hh,vol,이름\nB,20240101,8,5,사직로\n", "utf-8")
     write(f"{folder}/other.csv", "a\n1\n")
-    got = tables.read_history(spark, f"{folder}/traffic_volume_history*.csv", drift=True)
+    got = tables.read_history(spark, f"{folder}/history*.csv", drift=True)
     rows = {r.spot_num: r for r in got.collect()}
     assert set(rows) == {"A-01", "007", "B"}
     assert rows["007"]["이름"] == "성산로" and rows["B"]["이름"] == "사직로" and rows["A-01"]["이름"] is None
-    assert rows["007"].source_file == "traffic_volume_history_2.csv"
-    with pytest.raises(Exception, match="history_x|PATH_NOT_FOUND|no file"):
-        tables.read_history(spark, f"{folder}/history_x*.csv")
+    assert rows["007"].source_file == "history_2.csv"
+    known = tables.read_history(spark, f"{folder}/history_2.csv", encoding=tables.KOREAN)
+    assert known.first()["이름"] == "성산로"
+    with pytest.raises(Exception, match="absent_x|PATH_NOT_FOUND|no file"):
+        tables.read_history(spark, f"{folder}/absent_x*.csv")
 
 
 def test_undecodable_file_is_an_error(spark, folder):
@@ -65,8 +67,8 @@ def test_metrics_and_records(spark, folder):
 
 
 def xml(rows="", code="INFO-000", total="2"):
-    return (f"<VolInfo><list_total_count>{total}</list_total_count><RESULT><CODE>{code}</CODE>"
-            f"<MESSAGE> fine </MESSAGE></RESULT>{rows}</VolInfo>")
+    return (f"<Readings><list_total_count>{total}</list_total_count><RESULT><CODE>{code}</CODE>"
+            f"<MESSAGE> fine </MESSAGE></RESULT>{rows}</Readings>")
 
 
 CELL = "<row><spot_num>Z</spot_num><lane_num> 1 </lane_num><vol>12</vol><odd>q</odd></row>"
@@ -85,7 +87,7 @@ def parsed(spark):
 
 def test_payloads(parsed):
     got = {r.spot_num: r for r in parsed.collect()}
-    assert (got["a"].service, got["a"].total_count, got["a"].code, got["a"].message) == ("VolInfo", 2, "INFO-000", "fine")
+    assert (got["a"].service, got["a"].total_count, got["a"].code, got["a"].message) == ("Readings", 2, "INFO-000", "fine")
     assert got["a"].rows == [{"spot_num": "Z", "lane_num": "1", "vol": "12", "odd": "q"}, {"hh": "8", "vol": ""}]
     assert got["b"].total_count is None and got["b"].rows == [] and got["b"].error is None
     assert len(got["d"].error) == 200 and "\n" not in got["d"].error and got["d"].rows == []
