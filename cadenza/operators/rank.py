@@ -10,15 +10,16 @@ from cadenza.operators.clean import require_columns
 
 
 def ranked(metrics: DataFrame, metric: str = "RMSE") -> DataFrame:
-    return metrics.orderBy(F.asc_nulls_last(metric))
+    return metrics.orderBy(F.asc_nulls_last(metric), *(["model"] if "model" in metrics.columns else []))
 
 
 def best_model(metrics: DataFrame, metric: str = "RMSE") -> DataFrame:
-    """The row with the smallest metric; ties by MAPE, then MAE, missing last."""
+    """The row with the smallest metric; ties by MAPE, MAE, then name, missing last."""
     order = [metric, "MAPE", "MAE"]
     require_columns(metrics, order)
     typed = metrics.withColumns({c: numeric(metrics, c) for c in dict.fromkeys(order)}).dropna(subset=[metric])
-    return typed.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(1)
+    names = ["model"] if "model" in metrics.columns else []
+    return typed.orderBy(*[F.asc_nulls_last(c) for c in [*order, *names]]).limit(1)
 
 
 def top_rows(df: DataFrame, column: str, n: int = 50, ties: list[str] | None = None) -> DataFrame:
