@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import quality_rules
+from cadenza.llm import minhash, quality_rules
 from cadenza.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,3 +23,8 @@ def register(query: Query) -> Query:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept", "score")
+
+
+@register
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
