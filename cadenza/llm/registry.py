@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import html_text, minhash, quality_rules
+from cadenza.llm import html_text, minhash, packing, quality_rules
 from cadenza.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,8 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@register
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
