@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import html_text, minhash, packing, quality_rules
+from cadenza.llm import chat, html_text, minhash, packing, quality_rules
 from cadenza.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@register
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.summarize(chat.format_turns(turns))
