@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import chat, html_text, minhash, packing, quality_rules
+from cadenza.llm import chat, html_text, minhash, packing, quality_rules, vector_dedup
 from cadenza.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,25 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     return chat.summarize(chat.format_turns(turns))
+
+
+@register
+def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op1_chat"] = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), s AS (
+  SELECT *, role || chr(10) || text || chr(10) AS said, CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss,
+    len(regexp_extract_all(role || ' ' || text,
+      '<\|turn\|>|<\|end\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>')) AS marks
+  FROM t
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, sha256(string_agg(said, '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(length(loss)) AS BIGINT) AS loss_chars, sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(length(said) + 15 + marks) AS BIGINT) AS formatted_chars
+FROM s GROUP BY conv_id
+"""
