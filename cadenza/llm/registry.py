@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import chat, html_text, minhash, packing, quality_rules, vector_dedup
+from cadenza.llm import chat, html_text, minhash, packing, quality_rules, toxicity, vector_dedup
 from cadenza.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,12 @@ def op3_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@register
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", *toxicity.RESULT)
+
+
 ORACLES["op1_chat"] = """
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
