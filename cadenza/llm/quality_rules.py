@@ -3,8 +3,9 @@
 Everything is DataFrame functions; no row leaves the JVM.
 
 * **Features.** The words of a text give hashed unigrams and bigrams, dealt to ``buckets`` buckets.
-* **Model.** Bucket counts over all documents (raw multinomial) and over trusted documents (target multinomial), both
-  smoothed by ``alpha``, give one log ratio per bucket. Counting is partially aggregated per task, so a shuffle
+* **Model.** Bucket counts over all documents (raw multinomial) and over trusted documents (target multinomial) give one
+  log ratio per bucket. The target is smoothed by ``alpha`` counts per bucket, dealt like the raw counts, so with few
+  trusted documents ratios go to 0. Counting is partially aggregated per task, so a shuffle
   carries at most ``buckets`` rows per task; the model is ``buckets`` doubles at any corpus size.
 * **Verdict.** A document's score is the mean log ratio of its n-grams. It is kept if it passes the base rules and its
   score is at least ``threshold``. No sampling, so equal texts always get equal verdicts.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import WORD_GAP, words_of
 
 BUCKETS = 16_384
-ALPHA = 1.0
+ALPHA = 4.0
 TRUSTED_ROWS = 20_000
 THRESHOLD = -0.045
 MIN_WORDS = 50
@@ -73,9 +74,11 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, text: str = "text", buckets:
     packed = full.agg(F.array_sort(F.collect_list(F.struct("_bucket", "_raw", "_target"))).alias("b"))
     total = lambda field: F.aggregate(F.transform("b", lambda x: x[field]), F.lit(0).cast("bigint"), lambda a, x: a + x)
     sums = packed.select("b", total("_raw").alias("raw"), total("_target").alias("target"))
-    smooth = lambda count, all_: F.log((count + alpha) / (all_ + alpha * buckets))
+    prior = F.lit(float(alpha * buckets))
+    share = lambda x: x["_raw"] / F.col("raw")
     ratio = F.transform("b", lambda x: F.when(
-        F.col("target") > 0, smooth(x["_target"], F.col("target")) - smooth(x["_raw"], F.col("raw"))).otherwise(0.0))
+        (F.col("target") > 0) & (x["_raw"] > 0),
+        F.log((x["_target"] + prior * share(x)) / (F.col("target") + prior)) - F.log(share(x))).otherwise(0.0))
     return sums.select(ratio.alias("ratios"))
 
 
@@ -123,7 +126,9 @@ def with_quality(
     }).drop("_lines", "_grams", "_table")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     judged = scored.withColumn("base_failed", failed)
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).select(
+    # A filter on a plain expression would be pushed down through every step and evaluate them once per element.
+    here = F.monotonically_increasing_id() >= 0
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold) & here).select(
         *own.columns, *RESULT)
 
 
