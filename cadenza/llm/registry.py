@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cadenza.llm import chat, html_text, minhash, packing, quality_rules, toxicity, vector_dedup
+from cadenza.llm import chat, html_text, licenses, minhash, packing, quality_rules, toxicity, vector_dedup
 from cadenza.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,16 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *toxicity.RESULT)
 
 
+@register
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files below their source, 64 to a folder; the first of each folder is its licence file."""
+    folder = F.concat_ws("/", "source", F.concat(F.lit("d"), F.floor(F.col("doc_id") / 64)))
+    name = F.when(F.col("doc_id") % 64 == 0, "LICENSE").otherwise(F.concat("doc_id", F.lit(".txt")))
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("fid"), F.concat_ws("/", folder, name).alias("path"), "text")
+    found = licenses.scan(files, licenses.template_table(spark))
+    return found.select(F.col("fid").alias("doc_id"), "path", "license", F.round("score", 6).alias("score"), "origin", "from_dir")
+
+
 ORACLES["op1_chat"] = """
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
