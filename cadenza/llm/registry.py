@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import chat, html_text, licenses, minhash, packing, pieces, quality_rules, toxicity, vector_dedup
+from cadenza.llm import chat, html_text, licenses, minhash, packing, perplexity, pieces, quality_rules, toxicity, vector_dedup
 from cadenza.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,11 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.summarized(table(spark, sf_dir, "documents"))
 
 
+@register
+def op4_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.with_perplexity(table(spark, sf_dir, "documents"))
+
+
 @register
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files below their source, 64 to a folder; the first of each folder is its licence file."""
