@@ -18,7 +18,8 @@ is compared with its smallest class and with neighbours in order of the id.
 
 Defined cases: null, empty and blank texts have no shingle (``n_shingles`` 0) and are linked with nothing. A text of
 fewer than five words is one shingle. Rows with a null id are linked with nothing and kept. Rows that repeat an id are
-judged by their texts, row by row. Extra columns are not carried. An empty table gives an empty result.
+judged by their texts, row by row; where an id has different texts and is the smallest of several classes, the class
+with the least key is the one that is compared. Extra columns are not carried. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ WIDTH = 5
 HASHES = 64
 REGION = 32
 #: Depth of the prefix at each level of the forest.
-DEPTHS = (4, 8, 16)
+DEPTHS = (4, 6, 8, 12, 16)
 MISS = 1e-5
 #: 100 * intersection >= PERCENT * union links two documents.
 PERCENT = 85
@@ -182,11 +183,17 @@ def _confirm(percent: int):
     return confirmed
 
 
-def links(pairs: DataFrame, docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """Pairs whose full sets reach the threshold. Texts of documents in no pair stop at the first join."""
-    needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select("doc_id", F.col(text).alias("t")).join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = stored(texts, "forest-texts")
+def texts_of(nodes: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """Texts of the given documents, pulled once: the only time that texts are shuffled.
+
+    Both sides grow with the data, so the join is by shuffle at any size.
+    """
+    pulled = docs.select("doc_id", F.col(text).alias("t")).join(nodes.hint("merge"), docs["doc_id"] == nodes["node"], "left_semi")
+    return stored(pulled.groupBy("doc_id").agg(F.min("t").alias("t")), "forest-texts")
+
+
+def links(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs whose full sets reach the threshold."""
     of = lambda name: texts.select(F.col("doc_id").alias(name), F.col("t").alias(f"t{name}"))
     joined = pairs.join(of("a"), "a").join(of("b"), "b")
     return joined.mapInPandas(_confirm(percent), "a bigint, b bigint")
@@ -199,13 +206,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
     sets = known.where("n_shingles > 0 AND doc_id IS NOT NULL")
     heads = sets.groupBy(*keys).agg(F.min("doc_id").alias("node"))
     own = sets.withColumnRenamed("doc_id", "node").join(heads, [*keys, "node"], "left_semi")
-    classes = stored(own.dropDuplicates(["node"]).select("node", "signature"), "classes")
-    found, groups, left = None, None, classes
+    first = own.groupBy("node").agg(F.min(F.struct("k1", "k2", "signature")).alias("s"))
+    classes = stored(first.select("node", "s.signature"), "classes")
+    found, groups, texts, left = None, None, None, classes
     for depth in DEPTHS:
         pairs, crowded = candidates(left, depth, depth == DEPTHS[-1], percent)
-        fresh = stored(links(stored(_likely(pairs, classes, percent), "likely"), docs, text, percent), "links")
+        likely = stored(_likely(pairs, classes, percent), "likely")
+        if texts is None:  # deeper levels only know classes that are crowded here
+            ends = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node")))
+            texts = texts_of(ends.unionByName(crowded.select("node")).distinct(), docs, text)
+        fresh = stored(links(likely, texts, percent), "links")
         found = fresh if found is None else found.unionByName(fresh)
-        groups = stored(components(found), "groups")
+        if groups is None or not fresh.isEmpty():
+            groups = stored(components(found), "groups")
         group = F.coalesce("component", "node").alias("group")
         placed = crowded.join(groups, "node", "left").select("node", "region", group)
         open_ = placed.groupBy("region").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
