@@ -21,6 +21,7 @@ An empty table gives an empty result. Extra columns are not carried.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -39,27 +40,67 @@ END_ID = 0
 WASTE = 8
 ITEMS = 50_000
 FANIN = 8
-CACHED = 300_000
-BATCH_CHARS = 1 << 20
+CACHED = 500_000
+BATCH_CHARS = 1 << 19
 UNSAFE = re.compile(r" \s|\s |^ | $")
+#: Words below this character are letters in every edition of Unicode.
+LATIN = "\u0250"
+#: Fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others follow from U+0100 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+SPACE_LETTER = chr(BYTE_LETTERS[ord(" ")])
+SIMPLE = re.compile(r"([^\W\d_]*)([!-/:-@\[-`{-~]*)")
+LOOSE_LINES = re.compile(r"\s\n|\n\s|^\n|\n$")
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class TokenCache:
-    """Little-endian 32-bit token ids of texts, with the ids of each part of a text kept for the next one."""
+    """Little-endian 32-bit token ids of texts, with the ids of each part of a text kept for the next one.
+
+    A part that is a word, with or without punctuation behind it, goes straight to the tokenizer's model, in the
+    alphabet of its byte-level vocabulary, and so do the lines of a part; anything else takes the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.feed = self._whole("\n")
+
+    def _whole(self, part: str) -> bytes:
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str, lead: str) -> bytes:
+        coded = (lead + word).encode().decode("latin-1").translate(BYTE_LETTERS) if not word.isascii() else SPACE_LETTER + word if lead else word
+        tokens = self.model.tokenize(coded)
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def _part(self, part: str, lead: str) -> bytes:
+        if part.isalpha() and (part.isascii() or max(part) < LATIN):
+            return self._word(part, lead)
+        word, marks = SIMPLE.match(part).groups()
+        if word and marks and len(word) + len(marks) == len(part) and (word.isascii() or max(word) < LATIN):
+            ends = self.marks.get(marks)
+            if ends is None:
+                ends = self._whole(marks)
+                if len(self.marks) < CACHED:
+                    self.marks[marks] = ends
+            known = self.later.get(word) if lead else self.first.get(word)
+            return (known or self._word(word, lead)) + ends
+        if "\n" in part and not LOOSE_LINES.search(part):
+            before, *after = part.split("\n")
+            return self._part(before, lead) + b"".join(self.feed + (self.first.get(x) or self._part(x, "")) for x in after)
+        return self._whole(lead + part)
 
     def _learn(self, known: dict[str, bytes], parts: set[str], lead: str) -> None:
-        missing = list(parts.difference(known))
+        missing = parts.difference(known)
         if len(known) + len(missing) > CACHED:
             known.clear()
-            missing = list(parts)
-        coded = self.tokenizer.encode_batch([lead + p for p in missing], add_special_tokens=False)
-        known.update((p, np.array(c.ids, "<u4").tobytes()) for p, c in zip(missing, coded, strict=True))
+            missing = parts
+        for part in missing:
+            known[part] = self._part(part, lead)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [SAFE_SPACE.split(t) if UNSAFE.search(t) else t.split(" ") for t in texts]
@@ -82,11 +123,15 @@ def _chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield begin, held
 
 
+#: One per Python worker, kept from task to task.
+_CACHES: dict[str, TokenCache] = {}
+
+
 def _cut(path: str, capacity: int, with_ids: bool):
     end = np.array([END_ID], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = TokenCache(path)
+        cache = _CACHES.get(path) or _CACHES.setdefault(path, TokenCache(path))
         for batch in batches:
             docs = batch.column(0)
             for begin, texts in _chunks(batch.column(1)):
