@@ -7,45 +7,16 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.dates import parse_compact_hour
 from cadenza.functions.text import join_text, numeric, zero_pad
-from cadenza.session import materialize
 from cadenza.spec import HOURLY, PanelSpec
 
-BROADCAST_LIMIT = 32 << 20
-SALTS = 32
 
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (an upper estimate unless statistics exist)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str = "left",
-    limit: int = BROADCAST_LIMIT,
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join each left row with its row of a lookup table.
 
-    A lookup of checked size is broadcast. Where the estimate is too large (it
-    multiplies over joins), the lookup is stored and its real size decides. One
-    that is really large is joined by shuffle, with each left key spread over
-    ``salts`` partitions (lookup rows are copied once per salt), so no single
-    key decides the size of a task. Use ``salts=1`` where no key can be hot.
+    No hint and no size limit: adaptive execution broadcasts a lookup that turns out small at run time, and splits a
+    hot key on the left otherwise, since a lookup has one row per key.
     """
-    if estimated_bytes(right) > limit:
-        right = materialize(right, "lookup")
-    if estimated_bytes(right) <= limit:
-        return left.join(F.broadcast(right), on, how)
-    if salts <= 1:
-        return left.join(right, on, how)
-    others = [c for c in left.columns if c not in on] or on
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)))
-    every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    copies = right.withColumn("_salt", F.explode(every_salt))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return left.join(right, on, how)
 
 
 def with_spot_attributes(history: DataFrame, spots: DataFrame, spec: PanelSpec = HOURLY) -> DataFrame:
@@ -63,7 +34,7 @@ def with_spot_attributes(history: DataFrame, spots: DataFrame, spec: PanelSpec =
 
 def with_weather(panel: DataFrame, weather: DataFrame, spec: PanelSpec = HOURLY) -> DataFrame:
     """Panel with the weather of its hour. No hour can be hot: it has one row per series."""
-    return lookup_join(panel, weather, [spec.time], salts=1)
+    return lookup_join(panel, weather, [spec.time])
 
 
 def join_forecasts(first: DataFrame, second: DataFrame, names: tuple[str, str], on: list[str], value: str = "pred_vol") -> DataFrame:

@@ -79,17 +79,12 @@ def over_segments(
     return made.drop(SEGMENT, ORDINAL)
 
 
-def ordered_index(df: DataFrame, order: list[str], name: str, small_bytes: int = 64 << 20) -> DataFrame:
-    """0-based rank of each row in a total order, for tables of keys.
+def ordered_index(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """0-based rank of each row in a total order, for tables of keys of any size.
 
-    A table of checked small size takes one plain window. A larger one is
-    range-partitioned, pinned in the shared folder, ranked per range and
-    shifted by the sizes of the earlier ranges.
+    The table is range-partitioned, pinned in the shared folder, ranked per range and shifted by the sizes of the
+    earlier ranges.
     """
-    from cadenza.operators.joins import estimated_bytes
-
-    if estimated_bytes(df) <= small_bytes:
-        return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
     ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
     pinned = materialize(ranged, "ordered")
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -453,8 +453,17 @@ SELECT * FROM (SELECT DISTINCT spot_num FROM readings),
   (SELECT lpad(CAST(unnest(range(24)) AS VARCHAR), 2, '0') AS hh)
 EXCEPT SELECT spot_num, ymd, lpad(hh, 2, '0') FROM readings""",
     "ingest_resume": with_(READINGS)
-    + """SELECT spot_num, count(*) AS total_rows,
-  count(DISTINCT CASE WHEN hh <> 'x' THEN ymd || hh END) AS hours_with_rows FROM readings GROUP BY 1""",
+    + """SELECT spot_num, count(*) FILTER (ymd <> '20240120') AS total_rows,
+  count(DISTINCT CASE WHEN hh <> 'x' AND ymd <> '20240120' THEN ymd || hh END) AS hours_with_rows,
+  round(sum(TRY_CAST(vol AS DOUBLE)) FILTER (ymd <> '20240120'), 4) AS total_vol,
+  count(DISTINCT hh) FILTER (ymd = '20240120') AS pending
+FROM readings GROUP BY 1 HAVING count(*) FILTER (ymd <> '20240120') > 0""",
+    "ingest_progress": """
+SELECT count(DISTINCT (event_type, user_id % 10, strftime(ts, '%Y%m%d'),
+    CASE WHEN event_id % 97 = 0 THEN 'x' WHEN event_id % 89 = 0 THEN '24' ELSE CAST(hour(ts) AS VARCHAR) END, event_id // 1000)) AS total_calls,
+  count(*) AS total_rows FROM events""",
+    "lag_gappy": with_(READINGS, HOURLY)
+    + f"SELECT spot_num, datetime, {r('coalesce(lag(vol) OVER w, 0.0)')} AS vol_lag1 FROM hourly WINDOW w AS (PARTITION BY spot_num ORDER BY datetime)",
 }
 FOLD_ERRORS = (*BASE, """
 pos AS (SELECT *, row_number() OVER (PARTITION BY spot_num ORDER BY datetime) - 1 AS rn FROM volumes)""", FOLD_BOUNDS, """

@@ -27,6 +27,9 @@ ROW_SHARE = 0.9
 COLUMN_SHARE = "0.9"
 SEED = 42
 VARIED = 1e-9
+# One solver at any number of inputs; "auto" would change the method above 4096 of them.
+LINEAR_ROUNDS = 200
+LINEAR_TOLERANCE = 1e-9
 # Features the second learner always keeps, in order.
 ALWAYS_KEEP = ("vol", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_weekend")
 
@@ -162,7 +165,8 @@ def fit_linear(
         # Cells that never change in training carry only rounding noise.
         VarianceThresholdSelector(featuresCol="_all", outputCol="_varied", varianceThreshold=VARIED),
         LinearRegression(featuresCol="_varied", labelCol="_goal", predictionCol="_prediction",
-                         regParam=regularization, standardization=False),
+                         regParam=regularization, standardization=False,
+                         solver="l-bfgs", maxIter=LINEAR_ROUNDS, tol=LINEAR_TOLERANCE),
     ]
     fitted.model = Pipeline(stages=stages).fit(train)
     return fitted

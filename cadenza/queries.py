@@ -12,7 +12,7 @@ from cadenza.plans import baselines, dataset, evaluation, forecast, learners, se
 from cadenza.session import materialize, scratch_path
 from cadenza.sources import payloads, tables
 from cadenza.sources.windows import load_windows, save_windows
-from cadenza.spec import DAILY, HOURLY
+from cadenza.spec import DAILY, GRID, HOURLY
 from cadenza.streaming import ingest
 
 WINDOW = 24
@@ -23,7 +23,7 @@ CORRELATED = [
     "vol", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_weekend", "temp_c", "rain_mm", "humidity_pct",
 ]
 SHORT_FEATURES = ["vol", "hour_sin", "hour_cos", "temp_c"]
-INSIDE = HOURLY.but(group=("split",))
+INSIDE = GRID.but(group=("split",))
 
 
 def rounded(df: DataFrame, places: int = 6, only: list[str] | None = None) -> DataFrame:
@@ -496,18 +496,41 @@ def pending_work(spark, d):
 
 
 def ingest_resume(spark, d):
-    """Ingest in two runs with a re-delivered file; each unit counts once."""
+    """Ingest in two runs, with a day delivered again as it was, one delivered wrong first, and broken responses.
+
+    The corrected delivery counts, whatever came before it, and units of broken responses stay pending.
+    """
     requests = _requests(spark, d)
     source, sink, state = (scratch_path(spark, name) for name in ("requests", "history", "progress"))
     first_half = F.col("ymd") <= "20240115"
-    requests.where(first_half).write.parquet(f"{source}/run=1")
+    wrong = F.when(F.col("ymd") == "20240110", F.replace("payload", F.lit("<vol>"), F.lit("<vol>9"))).otherwise(F.col("payload"))
+    requests.where(first_half).withColumn("payload", wrong).write.parquet(f"{source}/run=1")
+    broken = requests.where("ymd = '20240120'").withColumn("payload", F.lit("<html>busy"))
+    broken.write.parquet(f"{source}/run=2")
     ingest.ingest(spark, f"{source}/*", sink, state)
-    requests.where(~first_half).write.parquet(f"{source}/run=2")
-    requests.where(F.col("ymd") == "20240115").write.parquet(f"{source}/run=3")
+    requests.where(~first_half & (F.col("ymd") != "20240120")).write.parquet(f"{source}/run=3")
+    requests.where(F.col("ymd").isin("20240110", "20240115")).write.parquet(f"{source}/run=4")
     ingest.ingest(spark, f"{source}/*", sink, state)
-    rows = ingest.ingested_rows(spark, sink)
-    return rows.groupBy("spot_num").agg(
-        F.count(F.lit(1)).alias("total_rows"), F.count_distinct("ymd", "hh").alias("hours_with_rows"))
+    rows, done = ingest.ingested_rows(spark, sink), ingest.completed_units(spark, sink)
+    calls = requests.select(*ingest.UNIT).distinct().join(done.select(*ingest.UNIT).distinct(), ingest.UNIT, "left_anti")
+    pending = calls.groupBy("spot_num").agg(F.count(F.lit(1)).alias("pending"))
+    counts = rows.groupBy("spot_num").agg(
+        F.count(F.lit(1)).alias("total_rows"), F.count_distinct("ymd", "hh").alias("hours_with_rows"),
+        F.round(F.sum("vol"), 4).alias("total_vol"))
+    return counts.join(pending, "spot_num", "left").fillna(0, ["pending"])
+
+
+def ingest_progress(spark, d):
+    """Calls and rows of one ingest."""
+    source, sink, state = (scratch_path(spark, name) for name in ("requests", "history", "progress"))
+    _requests(spark, d).write.parquet(source)
+    ingest.ingest(spark, source, sink, state)
+    return ingest.progress(ingest.completed_units(spark, sink))
+
+
+def lag_gappy(spark, d):
+    """Previous value by position on hourly sums as they are, with their gaps."""
+    return rounded(features.add_lags(_hourly(spark, d), ["vol"])).select("spot_num", "datetime", "vol_lag1")
 
 
 # -- learners ---------------------------------------------------------------
@@ -634,7 +657,7 @@ QUERIES = {f.__name__: f for f in (
     selection_record, model_tags, model_filter, importance_by_feature, topk_features, overview, quality_summary,
     histogram_50, corr_matrix, mode_spot, top50, head50, sorted_spots, label_at_horizon, forecast_join,
     spots_with_forecast, idle_spots, union_readings, tm_to_lonlat, date_functions, value_functions, json_records,
-    csv_encodings, panel_store, metrics_files, xml_rows, pending_work, ingest_resume, gbt_score, second_learner,
+    csv_encodings, panel_store, metrics_files, xml_rows, pending_work, ingest_resume, ingest_progress, lag_gappy, gbt_score, second_learner,
     importance_subset, train_compare, recursive_forecast, busiest_spots, rolling_eval, backtest,
     rolling_naive, backtest_naive, forecast_naive, busiest_naive,
 )}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master without the setting gets a temporary folder.
+    Without that setting it is a folder of the session's warehouse, if all executors can reach that: the master is
+    local, or the warehouse is not on a local disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -40,9 +41,11 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    alone = re.match(r"local(\[|$)", spark.sparkContext.master)
+    if not alone and warehouse.startswith(("file:", "/")):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="cadenza-")
+    folder = f"{warehouse.rstrip('/')}/cadenza-scratch"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

@@ -49,17 +49,18 @@ def _field(name: str) -> Column:
     return F.col("_row")[name]
 
 
-def volume_rows(parsed: DataFrame) -> DataFrame:
+def volume_rows(parsed: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Detector rows of volume responses; a response with an error code has none.
 
     ``spot_num, ymd, hh`` come from the request where the row lacks them; hour,
     lane and volume are coerced; tags without a column stay in ``extra``.
     ``row_no`` is the place in the answer to the request: a long answer comes in
-    several responses, each with the ``start`` index of its first row.
+    several responses, each with the ``start`` index of its first row. Columns
+    named by ``carry`` are kept.
     """
     fine = parsed.where(F.col("code").isNull() | (F.col("code") == OK_CODE))
     rows = fine.select(
-        "spot_num", "ymd", "hh", F.coalesce("start", F.lit(1)).alias("_start"),
+        "spot_num", "ymd", "hh", F.coalesce("start", F.lit(1)).alias("_start"), *(carry or []),
         F.posexplode("rows").alias("_place", "_row"))
     extra = F.map_filter("_row", lambda k, _: ~k.isin(VOLUME_FIELDS))
     return rows.select(
@@ -69,7 +70,7 @@ def volume_rows(parsed: DataFrame) -> DataFrame:
         text_to_number(_field("lane_num")).alias("lane_num"),
         _field("io_type").alias("io_type"),
         text_to_number(_field("vol")).alias("vol"),
-        (F.col("_start") + F.col("_place")).alias("row_no"), extra.alias("extra"))
+        (F.col("_start") + F.col("_place")).alias("row_no"), extra.alias("extra"), *(carry or []))
 
 
 def spot_rows(parsed: DataFrame) -> DataFrame:

@@ -14,8 +14,9 @@ class PanelSpec:
     alone, so a single dominant key spreads over the cluster.
 
     ``dense`` promises that each series has a row for every step between its
-    first and last one (what ``densify`` returns). With ``dense=False`` row
-    positions are counted first.
+    first and last one, as what ``densify`` returns has; positions then follow
+    from the time. Without the promise row positions are counted first, so
+    gaps never change which rows are neighbours.
     """
 
     key: str = "spot_num"
@@ -23,7 +24,7 @@ class PanelSpec:
     value: str = "vol"
     step_seconds: int = 3600
     segment: int = 4096
-    dense: bool = True
+    dense: bool = False
     group: tuple[str, ...] = ()
 
     @property
@@ -36,4 +37,5 @@ class PanelSpec:
 
 
 HOURLY = PanelSpec()
+GRID = PanelSpec(dense=True)
 DAILY = PanelSpec(step_seconds=86400)

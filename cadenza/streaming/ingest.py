@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +13,8 @@ from cadenza.sources.payloads import parse_payloads, volume_rows
 
 REQUEST_SCHEMA = "spot_num STRING, ymd STRING, hh STRING, start BIGINT, payload STRING"
 UNIT = ["spot_num", "ymd", "hh"]
+PLACE = [*UNIT, "row_no"]
+DELIVERY = ["delivered", "delivery"]
 
 
 def parse_hours(text: str) -> list[int]:
@@ -47,14 +51,17 @@ def pending_work(
     return units if done is None else units.join(done.select(*UNIT).distinct(), UNIT, "left_anti")
 
 
-def _write_batch(sink: str):
+def _write_batch(sink: str, checkpoint: str):
     def write(batch: DataFrame, batch_id: int) -> None:
+        # The query's own id: a fresh checkpoint starts at batch 0 again and must not touch earlier folders.
+        first = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()
+        query = json.loads(first.value)["id"]
         parsed = parse_payloads(batch).persist()
-        rows = volume_rows(parsed)
+        rows = volume_rows(parsed, carry=DELIVERY)
         units = parsed.select(*UNIT, F.col("code"), F.col("error"), F.size("rows").alias("n_rows"))
         # A repeated batch overwrites its own folder, so a crash leaves no copies.
-        rows.write.mode("overwrite").parquet(f"{sink}/rows/batch_id={batch_id}")
-        units.write.mode("overwrite").parquet(f"{sink}/units/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{sink}/rows/query_id={query}/batch_id={batch_id}")
+        units.write.mode("overwrite").parquet(f"{sink}/units/query_id={query}/batch_id={batch_id}")
         parsed.unpersist()
 
     return write
@@ -70,9 +77,10 @@ def ingest(
     """
     stream = (
         spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", files_per_batch).format(fmt).load(source)
+        .select("*", F.col("_metadata.file_modification_time").alias(DELIVERY[0]), F.col("_metadata.file_path").alias(DELIVERY[1]))
     )
     query = (
-        stream.writeStream.foreachBatch(_write_batch(sink))
+        stream.writeStream.foreachBatch(_write_batch(sink, checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -82,14 +90,16 @@ def ingest(
 
 
 def completed_units(spark: SparkSession, sink: str) -> DataFrame:
-    return spark.read.parquet(f"{sink}/units")
+    """Units with a readable response. Those with broken responses only are still to be fetched."""
+    return spark.read.parquet(f"{sink}/units").where("error IS NULL")
 
 
 def ingested_rows(spark: SparkSession, sink: str) -> DataFrame:
-    """Rows with re-delivered units removed: one per place in a response."""
-    rows = spark.read.parquet(f"{sink}/rows").drop("batch_id")
-    plain = rows.withColumn("extra", F.to_json("extra"))
-    return plain.dropDuplicates()
+    """One row per place in the answer to a request: that of the newest delivery, by file time and then file name."""
+    rows = spark.read.parquet(f"{sink}/rows").drop("query_id", "batch_id").withColumn("extra", F.to_json("extra"))
+    others = [c for c in rows.columns if c not in (*PLACE, *DELIVERY)]
+    newest = rows.groupBy(*PLACE).agg(F.max_by(F.struct(*others), F.struct(*DELIVERY)).alias("_newest"))
+    return newest.select(*PLACE, "_newest.*").select(*[c for c in rows.columns if c not in DELIVERY])
 
 
 def progress(units: DataFrame) -> DataFrame:

@@ -133,22 +133,30 @@ def test_positions_of_a_gappy_series(spark):
     assert [r[segments.ORDINAL] for r in got.orderBy("datetime").collect()] == list(range(6))
 
 
-def test_ordered_index_small_and_large_agree(spark):
-    keys = spark.createDataFrame([(f"k{i:04d}",) for i in random.Random(3).sample(range(5000), 700)], ["spot_num"])
-    small = segments.ordered_index(keys, ["spot_num"], "i")
-    large = segments.ordered_index(keys.repartition(7), ["spot_num"], "i", small_bytes=0)
-    assert rows(small, "spot_num") == rows(large, "spot_num")
+def test_ordered_index(spark):
+    names = [f"k{i:04d}" for i in random.Random(3).sample(range(5000), 700)]
+    keys = spark.createDataFrame([(n,) for n in names], ["spot_num"])
+    got = segments.ordered_index(keys.repartition(7), ["spot_num"], "i")
+    assert [tuple(r) for r in got.orderBy("spot_num").collect()] == [(n, i) for i, n in enumerate(sorted(names))]
 
 
-def test_lookup_join_broadcast_and_salted_agree(spark):
+@pytest.mark.parametrize("segment", [2, 3, 4096])
+def test_gaps_do_not_change_who_is_next(spark, segment):
+    hours = [0, 4, 14, 15, 4095, 4105]
+    df = spark.createDataFrame([("a", at(h), float(h)) for h in hours], "spot_num string, datetime timestamp_ntz, vol double")
+    made = segments.over_segments(df, HOURLY.but(segment=segment), lambda w: {"back": F.lag("vol").over(w)}, before=1)
+    assert [r.back for r in made.orderBy("datetime").collect()] == [None, *map(float, hours[:-1])]
+
+
+def test_lookup_join(spark):
     left = spark.createDataFrame([("hot", i) for i in range(90)] + [("b", 1), ("none", 2)], "spot_num string, v int")
     right = spark.createDataFrame([("hot", "x"), ("b", "y"), ("zz", "z")], "spot_num string, nm string")
     for how in ("left", "inner", "left_semi"):
-        plain = joins.lookup_join(left, right, ["spot_num"], how)  # stored, then found small
-        salted = joins.lookup_join(left, right, ["spot_num"], how, limit=0, salts=8)
-        assert "BroadcastHashJoin" in plain._jdf.queryExecution().executedPlan().toString()
-        assert rows(plain, "spot_num", "v") == rows(salted, "spot_num", "v")
-        assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+        got = joins.lookup_join(left, right, ["spot_num"], how)
+        assert "UnresolvedHint" not in got._jdf.queryExecution().logical().toString()
+        assert got.count() == (92 if how == "left" else 91)
+    tagged = left.withColumn("extra", F.create_map(F.lit("a"), "v"))
+    assert joins.lookup_join(tagged, right, ["spot_num"]).where("nm = 'x'").count() == 90
 
 
 def test_history_with_spots_makes_a_time(spark):

@@ -1,5 +1,6 @@
 import json
 import os
+import re
 
 import pytest
 from conftest import at
@@ -160,3 +161,24 @@ def test_append_history(spark, folder):
     tables.append_history(rows, f"{folder}/h")
     assert spark.read.parquet(f"{folder}/h").count() == 2
     assert os.path.isdir(f"{folder}/h/ymd=20240101")
+
+
+BARE = "<row><lane_num>1</lane_num><vol>12</vol></row>"
+
+
+def test_corrected_deliveries_broken_responses_and_a_fresh_checkpoint(spark, folder):
+    def deliver(name, payloads_):
+        data = [(s, "20240101", h, 1, p) for s, h, p in payloads_]
+        spark.createDataFrame(data, ingest.REQUEST_SCHEMA).coalesce(1).write.parquet(f"{folder}/in/{name}")
+
+    deliver("1", [("a", "01", xml(BARE)), ("a", "02", "<html>busy"), ("b", "01", xml(BARE))])
+    ingest.ingest(spark, f"{folder}/in/1", f"{folder}/out", f"{folder}/state1")
+    assert {(r.spot_num, r.hh) for r in ingest.completed_units(spark, f"{folder}/out").collect()} == {("a", "01"), ("b", "01")}
+    before = ingest.ingested_rows(spark, f"{folder}/out").where("spot_num = 'b'").collect()
+    corrected = re.sub(r"<vol>[^<]*</vol>", "<vol>77</vol>", xml(BARE))
+    deliver("2", [("a", "01", corrected), ("a", "02", xml(BARE))])
+    ingest.ingest(spark, f"{folder}/in/2", f"{folder}/out", f"{folder}/state2")  # starts at batch 0 again
+    rows = ingest.ingested_rows(spark, f"{folder}/out")
+    assert [r.vol for r in rows.where("spot_num = 'a' AND hh = 1").collect()] == [77.0]
+    assert rows.where("spot_num = 'a' AND hh = 2").count() == 1
+    assert rows.where("spot_num = 'b'").collect() == before
