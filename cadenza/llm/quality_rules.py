@@ -106,8 +106,10 @@ def with_quality(
 ) -> DataFrame:
     """Documents with their base counts, score and verdict. ``ratios`` comes from ``log_ratios``."""
     own = docs.drop(*[c for c in RESULT if c != text])
-    body = F.coalesce(F.col(text), F.lit(""))
-    hashed = _hashed(own.withColumns({"_table": ratios.select("ratios").scalar()}), text)
+    body = F.coalesce("_text", F.lit(""))
+    # The caller's columns travel in a struct, so no name of theirs can meet one of the steps.
+    packed = own.select(F.struct(*own.columns).alias("_own"), F.col(text).alias("_text"), ratios.select("ratios").scalar().alias("_table"))
+    hashed = _hashed(packed, "_text")
     lines = F.filter(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(" \t\x0b\x0c\r")) != "")
     counted = hashed.withColumns({
         "n_words": F.size("_words").cast("bigint"),
@@ -129,7 +131,7 @@ def with_quality(
     # A filter on a plain expression would be pushed down through every step and evaluate them once per element.
     here = F.monotonically_increasing_id() >= 0
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold) & here).select(
-        *own.columns, *RESULT)
+        "_own.*", *RESULT)
 
 
 def quality(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:

@@ -17,7 +17,7 @@
 Training looks at a bounded sample, so model and driver load are the same at any corpus size; scoring is a scan
 without a shuffle, and its memory does not grow with the text beyond the text itself.
 
-Defined cases: null and blank texts have no window and get the score of no gain. Ids are compared as text; a null id is
+Defined cases: null and blank texts have no window and the score 0. Ids are compared as text; a null id is
 not held out. Contradicting labels of one document count as toxic. Without toxic or without ordinary training rows
 nothing is known to be toxic: every score is 0. Repeated rows are scored alike. Extra columns pass through, except
 those named like the results, which are replaced.
@@ -50,7 +50,7 @@ MIN_CONTEXTS = 6
 EVIDENCE = 30.0
 CONTRAST = 8.0
 THRESHOLD = 0.3
-BETWEEN = re.compile(r"[^\w]+")
+WORDS = re.compile(r"\w+")
 RESULT = ["held_out", "score", "predicted"]
 STATS = "n_windows long, some long, more long, most long, top double"
 STAT_NAMES = ["n_windows", "some", "more", "most", "top"]
@@ -87,12 +87,12 @@ def window_gains(ordinary: bytes, toxic: bytes, text: Column) -> Column:
         for texts in batches:
             rows = []
             for text in texts:
-                words = BETWEEN.split((text or "").lower())
+                words = WORDS.findall((text or "").lower())
                 saved = []
                 for word in words:
                     gain = known.get(word)
                     if gain is None:
-                        coded = _coded(f" {word} ") if word else b""
+                        coded = _coded(f" {word} ")
                         gain = known[word] = max(0, len(plain(coded)) - len(harsh(coded))) / (len(word) + 2)
                     saved.append(gain)
                 high = np.array(saved)
@@ -107,15 +107,20 @@ def window_gains(ordinary: bytes, toxic: bytes, text: Column) -> Column:
 def _calibrated(rows: list, ridge: float = 0.05, rounds: int = 50) -> tuple[float, ...]:
     """Logistic weights by Newton steps on (statistics, toxic)."""
     data = np.array(rows, dtype=float).reshape(-1, len(STAT_NAMES) + 1)
-    x, y = np.column_stack([np.ones(len(data)), np.log1p(data[:, :-1])]), data[:, -1]
+    if not len(data):
+        return (0.0,) * (len(STAT_NAMES) + 1)
+    values, y = np.log1p(data[:, :-1]), data[:, -1]
+    middle = values.mean(axis=0)
+    x = np.column_stack([np.ones(len(data)), values - middle])
+    penalty = np.diag([1e-6, *[ridge] * len(middle)])  # slopes only, so a constant statistic has none
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
         w = w + step
         if np.abs(step).max() < 1e-9:
             break
-    return tuple(float(v) for v in w)
+    return float(w[0] - w[1:] @ middle), *(float(v) for v in w[1:])
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, text: str = "text", rows: int = ROWS) -> DataFrame:
@@ -180,16 +185,18 @@ def train(
 def with_toxicity(docs: DataFrame, model: ToxicModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Documents with ``held_out``, ``score`` and ``predicted``."""
     own = docs.drop(*[c for c in RESULT if c != text])
+    columns = own.columns
+    own = own.select("doc_id", F.col(text).alias("_text"), F.struct(*columns).alias("_own"))
     if not model.weights:
         scored = own.withColumn("score", F.lit(0.0))
     else:
-        gains = own.withColumn("_g", window_gains(model.ordinary, model.toxic, F.col(text)))
+        gains = own.withColumn("_g", window_gains(model.ordinary, model.toxic, F.col("_text")))
         start, *slopes = model.weights
         logit = sum((w * F.log1p(F.col(f"_g.{name}")) for w, name in zip(slopes, STAT_NAMES, strict=True)), F.lit(start))
-        scored = gains.withColumn("score", 1 / (1 + F.exp(-logit))).drop("_g")
+        scored = gains.withColumn("score", F.when(F.col("_g.n_windows") > 0, 1 / (1 + F.exp(-logit))).otherwise(0.0)).drop("_g")
     return scored.withColumns({
         "held_out": held_out(F.col("doc_id")), "predicted": (F.col("score") >= threshold).cast("int"),
-    }).select(*own.columns, *RESULT)
+    }).select("_own.*", *RESULT)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
