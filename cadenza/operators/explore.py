@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.spec import HOURLY, PanelSpec
@@ -64,17 +64,21 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of each pair over rows where both are known.
 
-    Each row becomes one row per pair inside its task, combined there before
-    the shuffle of one row per pair. A constant column has no correlation (null).
+    One aggregate over the rows as they are, with the sums of every pair side by side. A constant column has no
+    correlation (null); a pair that is never known together has no row.
     """
     pairs = list(combinations_with_replacement([c for c in columns if c in df.columns], 2))
-    entries = F.array(*[
-        F.struct(F.lit(a).alias("_a"), F.lit(b).alias("_b"),
-                 F.col(a).cast("double").alias("_x"), F.col(b).cast("double").alias("_y"))
-        for a, b in pairs])
-    known = df.select(F.inline(entries)).where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    spread = F.stddev_pop("_x") * F.stddev_pop("_y")
-    upper = known.groupBy("_a", "_b").agg(F.try_divide(F.covar_pop("_x", "_y"), spread).alias("correlation"))
+    if not pairs:
+        raise ValueError("none of the columns exists")
+
+    def entry(a: str, b: str) -> Column:
+        known = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = F.when(known, F.col(a).cast("double")), F.when(known, F.col(b).cast("double"))
+        value = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+        return F.struct(F.lit(a).alias("_a"), F.lit(b).alias("_b"), F.count(x).alias("_n"), value.alias("correlation"))
+
+    sums = df.agg(F.array(*[entry(a, b) for a, b in pairs]).alias("_pairs"))
+    upper = sums.select(F.inline("_pairs")).where("_n > 0")
     both = F.array(F.struct(F.col("_a").alias("column_a"), F.col("_b").alias("column_b")),
                    F.struct(F.col("_b").alias("column_a"), F.col("_a").alias("column_b")))
     return upper.select(F.inline(F.array_distinct(both)), "correlation")

@@ -330,8 +330,8 @@ FROM pos s JOIN pos o ON s.spot_num = o.spot_num AND o.rn = s.rn + 23
 JOIN pos t ON s.spot_num = t.spot_num AND t.rn = s.rn + 25
 WHERE s.rn % 3 = 0 AND s.rn < s.n - 24 - 2 + 1""",
     "window_flat": with_(*FRAMED, spread(SHORT, "frame")) + f"""
-SELECT spot_num, origin_time, CAST(step * 2 AS INTEGER) AS pos, {r('temp_c')} AS cell FROM cells WHERE start % 24 = 0
-UNION ALL SELECT spot_num, origin_time, CAST(step * 2 + 1 AS INTEGER), {r('vol')} FROM cells WHERE start % 24 = 0""",
+SELECT spot_num, origin_time, CAST(step * 2 AS INTEGER) AS pos, {r('temp_c')} AS cell FROM cells
+UNION ALL SELECT spot_num, origin_time, CAST(step * 2 + 1 AS INTEGER), {r('vol')} FROM cells""",
     "instant_window": with_(*FULL, f"""
 ends AS (SELECT spot_num, (SELECT max(datetime) FROM panel) AS end_time FROM panel GROUP BY spot_num),
 steps AS (SELECT spot_num, end_time, unnest(generate_series(end_time - INTERVAL 23 HOUR, end_time, INTERVAL 1 HOUR)) AS datetime FROM ends),
@@ -395,10 +395,10 @@ every AS (SELECT feature, p FROM picked WHERE p <= 2 UNION ALL SELECT 'vol', -2
     "overview": with_(*BASE) + """
 SELECT count(*) AS n_rows, min(datetime) AS first_time, max(datetime) AS last_time, count(DISTINCT spot_num) AS n_spots FROM volumes""",
     "quality_summary": with_(READINGS, """
-typed AS (SELECT spot_num, TRY_CAST(hh AS DOUBLE) AS hh, lane_num, TRY_CAST(vol AS DOUBLE) IS NULL AS no_vol FROM readings),
-totals AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE hh IS NULL) AS n_missing,
+typed AS (SELECT spot_num, ymd, TRY_CAST(hh AS DOUBLE) AS hh, lane_num, io_type, TRY_CAST(vol AS DOUBLE) AS vol FROM readings),
+totals AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE hh IS NULL) + count(*) FILTER (WHERE vol IS NULL) AS n_missing,
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM typed)) AS n_duplicates FROM typed)""") + """
-SELECT n_rows, n_missing, round(n_missing * 100.0::DOUBLE / (n_rows * 4), 3) AS missing_pct, n_duplicates,
+SELECT n_rows, n_missing, round(n_missing * 100.0::DOUBLE / (n_rows * 6), 3) AS missing_pct, n_duplicates,
   round(n_duplicates * 100.0::DOUBLE / n_rows, 3) AS duplicate_pct FROM totals""",
     "histogram_50": with_(*BASE, HISTOGRAM) + f"""
 SELECT b.bin, {r('lo + b.bin * ((hi - lo) / 50)')} AS left_edge, {r('lo + (b.bin + 1) * ((hi - lo) / 50)')} AS right_edge,

@@ -19,6 +19,7 @@ WINDOW = 24
 # The sample covers 30 days, so folds and backtests are short here.
 FOLDS = {"n_folds": 3, "test_days": 5, "min_train_days": 10}
 LAGS = {"Naive_w1": 1, "Naive_w2": 2, "Naive (w24)": 24}
+# The columns whose correlations are reported.
 CORRELATED = [
     "vol", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_weekend", "temp_c", "rain_mm", "humidity_pct",
 ]
@@ -182,7 +183,7 @@ def window_targets(spark, d):
 
 def window_flat(spark, d):
     """Flattened windows after a choice of features by name, one row per cell."""
-    made = windows.sliding_windows(_short_frame(spark, d), SHORT_FEATURES, WINDOW, stride=24)
+    made = windows.sliding_windows(_short_frame(spark, d), SHORT_FEATURES, WINDOW)
     x = arrays.pick_features(F.col("x"), SHORT_FEATURES, ["temp_c", "vol", "unknown"])
     return rounded(made.select("spot_num", "origin_time", F.posexplode(arrays.flat(x)).alias("pos", "cell")))
 
@@ -326,12 +327,12 @@ def overview(spark, d):
 
 
 def quality_summary(spark, d):
-    raw = adapters.readings(spark, d)
-    return explore.quality_summary(clean.to_numbers(raw, ["hh", "vol"]).select("spot_num", "hh", "lane_num", F.isnull("vol").alias("no_vol")))
+    return explore.quality_summary(clean.to_numbers(adapters.readings(spark, d), ["hh", "vol"]))
 
 
 def histogram_50(spark, d):
-    return rounded(explore.histogram(_volumes(spark, d), "vol", 50))
+    volumes = materialize(_volumes(spark, d).select("vol"), "volumes")  # the bounds and the counts both read it
+    return rounded(explore.histogram(volumes, "vol", 50))
 
 
 def corr_matrix(spark, d):
