@@ -10,8 +10,8 @@ that pages which are copies of each other keep their article.
 
 Pages are parsed as streams of tags on the executors, tolerantly: unclosed and stray tags, raw elements, cut-off pages.
 Statistics are counted per (host, node, content) with partial aggregation, so a hot host is no group anywhere; only
-style nodes that can be removed go back to the pages, as one short row per host, by a join that adaptive execution may
-split on the side of the pages.
+style nodes that can be removed go back to the pages, as one short row per host, by a join on host and a salt of the page,
+so a host with a third of all pages is spread as well.
 
 Defined cases: null and empty html, and pages with nothing but boilerplate, give an empty text. A url without a host
 has no siblings, so only stated purposes count. Repeated pages are extracted alike. Extra columns are not carried.
@@ -52,6 +52,8 @@ SCOPES = {"table", "ul", "ol", "dl", "article", "main", "body", "html"}
 
 MIN_PAGES = 4
 IMPORTANCE = 0.5
+#: Partitions that one host's pages are dealt to, at most; its row of removable style nodes is copied as often.
+SALTS = 64
 TAG = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({'|'.join(RAW)})(?=[\s/>]).*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"""|<(/?)([a-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)(?:>|\Z)""", re.S | re.I)
@@ -200,7 +202,8 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, importance: float =
     host = F.coalesce(F.regexp_extract(F.lower("url"), HOST, 1), F.lit(""))
     hosted = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"), host.alias("host"))
     low = style_nodes(hosted).where((F.col("pages") >= min_pages) & (F.col("importance") < importance))
-    per_host = low.groupBy("host").agg(F.collect_list("node").alias("low"))
-    texts = hosted.join(per_host, "host", "left").select("page_id", "url", "html", "low").mapInPandas(
+    per_host = low.groupBy("host").agg(F.collect_list("node").alias("low")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = hosted.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    texts = salted.join(per_host, ["host", "salt"], "left").select("page_id", "url", "html", "low").mapInPandas(
         _texts, "page_id bigint, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))
