@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-KEPT_PAIRS = 1_000_000
-KEPT_WORDS = 300_000
+KEPT_PAIRS = 500_000
+KEPT_WORDS = 250_000
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -51,7 +51,7 @@ class PieceTransducer:
         if any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError("a piece reaches over the start of a word")
         self.longest = max(map(len, self.id))
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -68,11 +68,12 @@ class PieceTransducer:
 
     def free(self, left: str, right: str) -> bool:
         """Whether the pair acceptor lets two neighbouring pieces pass at no weight."""
-        known = self.pairs.get((left, right))
+        pair = f"{left}\0{right}"
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+            known = self.pairs[pair] = self.merged(left + right) == ([left, right] if left else [right])
         return known
 
     def path(self, word: str) -> tuple[int, ...]:
