@@ -12,7 +12,7 @@
 * **Verdict.** A language's threshold lies ``SLACK`` bits per byte above the ``quantile`` of its trusted documents, taken
   from exact counts per thousandth of a bit. Documents above it go.
 
-Texts travel once, compressed; a task holds one block at a time. A hot language is no key of anything but sums.
+Texts travel once, compressed; a task holds one chunk of ``CHUNK_BYTES`` of text and one block's n-grams at a time. A hot language is no key of anything but sums.
 
 Defined cases: null and empty texts have only the end mark to predict. A null language is the language ''. Languages
 without trusted text have no model: perplexity is that of the uniform distribution and all are kept. Repeated rows are
@@ -36,13 +36,14 @@ from cadenza.llm.common import stored, words_of
 ORDER = 4
 BEGIN, END = 2, 3
 VOCABULARY = 257
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 24 << 20
+CHUNK_BYTES = 2 << 20
 QUANTILE = 0.999
 BITS = 1000
 SLACK = 0.2
 BLOCKS = (
     "block bigint, docs array<bigint>, langs array<string>, keys array<bigint>, trusted array<boolean>, sizes array<int>, "
-    "texts binary, grams array<bigint>, counts array<bigint>")
+    "texts array<binary>, chunks array<int>, grams array<bigint>, counts array<bigint>")
 SCORES = "doc_id bigint, lang string, trusted boolean, n_bytes bigint, bits double"
 
 
@@ -74,33 +75,69 @@ def grams_of(texts: list[bytes], keys: list[int]) -> np.ndarray:
     return grams[keep] | np.repeat(np.array(keys, np.int64), lengths + 1)
 
 
-def _block(number: int, rows: list[tuple]) -> tuple:
-    docs, langs, trusted, texts = map(list, zip(*rows, strict=True))
-    keys = [language_key(x) for x in langs]
-    grams = grams_of(texts, keys)
-    distinct, place = np.unique(grams, return_inverse=True)
-    marks = np.repeat(np.array(trusted, np.int64), [len(t) + 1 for t in texts])
-    counts = np.bincount(place, weights=marks, minlength=len(distinct)).astype(np.int64)
-    return number, docs, langs, keys, trusted, [len(t) for t in texts], zstandard.ZstdCompressor(level=3).compress(b"".join(texts)), distinct, counts
+class _Block:
+    """Documents of a block, folded in chunks of text, so memory is that of a chunk and of the distinct n-grams."""
+
+    def __init__(self) -> None:
+        self.docs: list = []
+        self.langs: list[str] = []
+        self.keys: list[int] = []
+        self.trusted: list[bool] = []
+        self.sizes: list[int] = []
+        self.texts: list[bytes] = []
+        self.chunks: list[int] = []
+        self.grams, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.held: list[bytes] = []
+        self.size = self.open = 0
+
+    def add(self, doc: int | None, lang: str, trusted: bool, raw: bytes) -> None:
+        self.docs.append(doc)
+        self.langs.append(lang)
+        self.keys.append(language_key(lang))
+        self.trusted.append(trusted)
+        self.sizes.append(len(raw))
+        self.held.append(raw)
+        self.size += len(raw)
+        self.open += len(raw)
+        if self.open >= CHUNK_BYTES:
+            self.fold()
+
+    def fold(self) -> None:
+        if not self.held:
+            return
+        last = len(self.held)
+        grams, place = np.unique(grams_of(self.held, self.keys[-last:]), return_inverse=True)
+        marks = np.repeat(np.array(self.trusted[-last:], np.float64), [len(t) + 1 for t in self.held])
+        counts = np.bincount(place, weights=marks, minlength=len(grams)).astype(np.int64)
+        both = np.concatenate([self.grams, grams])
+        self.grams, place = np.unique(both, return_inverse=True)
+        self.counts = np.bincount(place, weights=np.concatenate([self.counts, counts]), minlength=len(self.grams)).astype(np.int64)
+        self.texts.append(zstandard.ZstdCompressor(level=9).compress(b"".join(self.held)))
+        self.chunks.append(last)
+        self.held, self.open = [], 0
+
+    def row(self, number: int) -> tuple:
+        self.fold()
+        return number, self.docs, self.langs, self.keys, self.trusted, self.sizes, self.texts, self.chunks, self.grams, self.counts
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number, held, size = TaskContext.get().partitionId() << 32, [], 0
-    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    names = ["block", "docs", "langs", "keys", "trusted", "sizes", "texts", "grams", "counts"]
+    number, block = TaskContext.get().partitionId() << 32, _Block()
+    kinds = [
+        pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()),
+        pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    names = ["block", "docs", "langs", "keys", "trusted", "sizes", "texts", "chunks", "grams", "counts"]
 
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(_block(number, held), kinds, strict=True)], names)
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(block.row(number), kinds, strict=True)], names)
 
     for batch in batches:
         for doc, text, lang, trusted in zip(*(batch.column(i) for i in range(4)), strict=True):
-            raw = (text.as_py() or "").encode("utf-8", "replace")
-            held.append((doc.as_py(), lang.as_py(), trusted.as_py(), raw))
-            size += len(raw)
-            if size >= BLOCK_BYTES:
+            block.add(doc.as_py(), lang.as_py(), trusted.as_py(), (text.as_py() or "").encode("utf-8", "replace"))
+            if block.size >= BLOCK_BYTES:
                 yield out()
-                number, held, size = number + 1, [], 0
-    if held:
+                number, block = number + 1, _Block()
+    if block.docs:
         yield out()
 
 
@@ -164,22 +201,26 @@ def probabilities(requests: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["docs", "langs", "keys", "trusted", "sizes", "texts", "answers"]
+    names = ["docs", "langs", "keys", "trusted", "sizes", "texts", "chunks", "answers"]
     for batch in batches:
         columns = {n: batch.column(i) for i, n in enumerate(names)}
         for row in range(batch.num_rows):
-            docs, langs, keys, trusted, sizes = (columns[n][row].as_py() for n in names[:5])
-            joined = zstandard.ZstdDecompressor().decompress(columns["texts"][row].as_py())
-            ends = np.cumsum(sizes)
-            texts = [joined[e - s:e] for s, e in zip(sizes, ends, strict=True)]
+            docs, langs, keys, trusted, sizes, packed, chunks = (columns[n][row].as_py() for n in names[:7])
             answers = columns["answers"][row].values.flatten()
             grams, bits = answers[0].to_numpy(zero_copy_only=False), answers[1].to_numpy(zero_copy_only=False)
-            each = bits[np.searchsorted(grams, grams_of(texts, keys))].astype(np.float64)
-            lengths = np.array(sizes, np.int64) + 1
-            sums = np.add.reduceat(each, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(langs, pa.string()), pa.array(trusted, pa.bool_()), pa.array(lengths - 1), pa.array(sums / lengths)],
-                ["doc_id", "lang", "trusted", "n_bytes", "bits"])
+            begin = 0
+            for coded, count in zip(packed, chunks, strict=True):
+                own = slice(begin, begin + count)
+                joined = zstandard.ZstdDecompressor().decompress(coded)
+                ends = np.cumsum(sizes[own])
+                texts = [joined[e - s:e] for s, e in zip(sizes[own], ends, strict=True)]
+                each = bits[np.searchsorted(grams, grams_of(texts, keys[own]))].astype(np.float64)
+                lengths = np.array(sizes[own], np.int64) + 1
+                sums = np.add.reduceat(each, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(docs[own], pa.int64()), pa.array(langs[own], pa.string()), pa.array(trusted[own], pa.bool_()), pa.array(lengths - 1), pa.array(sums / lengths)],
+                    ["doc_id", "lang", "trusted", "n_bytes", "bits"])
+                begin += count
 
 
 def scored(docs: DataFrame, trusted: Column | None = None, text: str = "text") -> DataFrame:
@@ -190,8 +231,8 @@ def scored(docs: DataFrame, trusted: Column | None = None, text: str = "text") -
     known = stored(probabilities(sums.select("g"), sums.where("c > 0")).select("g", (-F.log2("p")).cast("float").alias("b")), "lm-bits")
     asked = held.select("block", F.explode("grams").alias("g")).join(known, "g")
     answers = asked.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("g", "b"))).alias("answers"))
-    return held.select("block", "docs", "langs", "keys", "trusted", "sizes", "texts").join(answers, "block").select(
-        "docs", "langs", "keys", "trusted", "sizes", "texts", "answers").mapInArrow(_scores, SCORES)
+    return held.select("block", "docs", "langs", "keys", "trusted", "sizes", "texts", "chunks").join(answers, "block").select(
+        "docs", "langs", "keys", "trusted", "sizes", "texts", "chunks", "answers").mapInArrow(_scores, SCORES)
 
 
 def with_perplexity(docs: DataFrame, trusted: Column | None = None, text: str = "text", quantile: float = QUANTILE) -> DataFrame:

@@ -131,7 +131,16 @@ def kneser_ney(counts, gram):
 
 
 def test_perplexity_by_the_textbook(spark, monkeypatch):
-    monkeypatch.setattr(perplexity, "BLOCK_BYTES", 40)
+    monkeypatch.setattr(perplexity, "BLOCK_BYTES", 40)  # workers import their own; whole and split blocks agree below
+    folded = perplexity._Block()
+    for i in range(5):
+        folded.add(i, "x", i % 2 == 0, b"abcabd" * i)
+        folded.fold()
+    whole = perplexity._Block()
+    for i in range(5):
+        whole.add(i, "x", i % 2 == 0, b"abcabd" * i)
+    a, b = folded.row(0), whole.row(0)
+    assert a[:6] == b[:6] and a[8].tolist() == b[8].tolist() and a[9].tolist() == b[9].tolist() and a[7] == [1] * 5
     rows = [(1, "abcabcabd", "x", "s", 0), (2, "abcé", "x", "s", 0), (3, "zzz", "x", "s", 0), (4, "", "x", "s", 0), (5, None, None, "s", 0), (5, "abcabcabd", "x", "s", 0), (None, "q" * 300, "y", "s", 0)]
     docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "0 AS bits", "1 AS block")
     from pyspark.sql import functions as F
