@@ -14,7 +14,8 @@ CHECKED = [
     "hourly_sum", "hourly_sum_strict", "densify_hourly", "densify_daily", "weather_clean", "panel_borrowed_weather",
     "time_features", "rolling_folds", "backtest_origins", "window_targets", "target_roundtrip", "model_comparison",
     "histogram_50", "quality_summary", "forecast_naive", "xml_rows", "pending_work", "tm_to_lonlat", "date_functions",
-    "value_functions",
+    "value_functions", "lag_gappy", "ingest_resume", "ingest_progress", "corr_matrix", "windows_long", "scaled_panel",
+    "lag_features", "spot_ids", "history_with_spots", "feature_scaler",
 ]
 
 
