@@ -80,7 +80,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("fid").alias("doc_id"), "path", "license", F.round("score", 6).alias("score"), "origin", "from_dir")
 
 
-ORACLES["op1_chat"] = """
+ORACLES["op1_chat"] = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
