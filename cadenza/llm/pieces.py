@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-KEPT_PAIRS = 500_000
-KEPT_WORDS = 250_000
+KEPT_PAIRS = 1_200_000
+KEPT_WORDS = 800_000
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -56,15 +56,16 @@ class PieceTransducer:
 
     def merged(self, text: str) -> list[str]:
         """The model's merge rule on the characters of a short string: the best-ranked neighbours first, then leftmost."""
-        parts = list(text)
-        while len(parts) > 1:
-            ranks = [self.rank.get(a + b, np.inf) for a, b in zip(parts, parts[1:])]
-            least = min(ranks)
-            if least == np.inf:
-                break
-            i = ranks.index(least)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+        parts, rank = list(text), self.rank.get
+        while True:
+            best, place = None, -1
+            for i in range(len(parts) - 1):
+                found = rank(parts[i] + parts[i + 1])
+                if found is not None and (best is None or found < best):
+                    best, place = found, i
+            if place < 0:
+                return parts
+            parts[place:place + 2] = [parts[place] + parts[place + 1]]
 
     def free(self, left: str, right: str) -> bool:
         """Whether the pair acceptor lets two neighbouring pieces pass at no weight."""
@@ -79,19 +80,27 @@ class PieceTransducer:
     def path(self, word: str) -> tuple[int, ...]:
         """Ids along the shortest path of a word."""
         last: list[str | None] = [""]
+        rank, longest, pairs = self.rank, self.longest, self.pairs
         for end in range(1, len(word) + 1):
             live = None
-            for start in range(max(0, end - self.longest), end):
-                piece, before = word[start:end], last[start]
-                if before is None or (piece not in self.rank and end - start > 1):
+            for start in range(max(0, end - longest), end):
+                piece = word[start:end]
+                known = piece in rank
+                if not known and end - start > 1:
                     continue
-                if piece not in self.rank or (before and before not in self.rank):
-                    live = piece  # nothing merges with a character outside the pieces
-                    if piece in self.rank and not self.free("", piece):
-                        live = None
+                before = last[start]
+                if before is None:
+                    continue
+                if not known or (before and before not in rank):
+                    # nothing merges with a character outside the pieces
+                    if known and not self.free("", piece):
                         continue
+                    live = piece
                     break
-                if self.free(before, piece):
+                passes = pairs.get(f"{before}\0{piece}")
+                if passes is None:
+                    passes = self.free(before, piece)
+                if passes:
                     live = piece
                     break
             last.append(live)
