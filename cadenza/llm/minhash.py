@@ -9,12 +9,15 @@
   below 1e-5. So depth follows density: sparse text stays at depth 4, crowds of like texts go deeper.
 * **Confirmation.** Candidates whose signatures agree in too few places for the threshold (five standard deviations
   below it) are dropped; the others are compared on their full sets.
+* **Crowds.** Classes that are still in crowded regions of several groups after the last level are compared in all of their
+  pairs, on full sets: regions that share a class are a crowd, a crowd is dealt to blocks, and each pair of blocks is a cell
+  of its own. A cell counts shared shingles as matrix products and gives each linked member its smallest connected one.
 * **Groups.** Connected components of the links. Classes of a crowded region that are in one group by then cannot add
   anything and do not go deeper, so a group of a million near copies costs a star, not its square.
 
 No group meets in one task: region sizes are counted with partial aggregation, hot regions only carry stars, and joins
-are by keys with one row on one side, which adaptive execution may split. At the last level a crowd of equal signatures
-is compared with its smallest class and with neighbours in order of the id.
+are by keys with one row on one side, which adaptive execution may split. The work on a crowd grows with its square, less
+the pairs of blocks that lie in one group; no pair that does not link is a row.
 
 Defined cases: null, empty and blank texts have no shingle (``n_shingles`` 0) and are linked with nothing. A text of
 fewer than five words is one shingle. Rows with a null id are linked with nothing and kept. Rows that repeat an id are
@@ -31,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import stored
@@ -45,6 +48,12 @@ DEPTHS = (4, 6, 8, 12, 16)
 MISS = 1e-5
 #: 100 * intersection >= PERCENT * union links two documents.
 PERCENT = 85
+#: A level that needs more orders than this is left out; the crowds of the level before are compared in all pairs instead.
+ORDERS = 200
+#: Classes in a block of a crowd.
+BLOCK = 512
+#: Shingles in a slice of a cell's matrices.
+SLICE = 4096
 CACHED = 400_000
 CHUNK = 4096
 SKETCH = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, signature array<int>"
@@ -142,7 +151,7 @@ def _pairs_within(members: Column) -> Column:
     return F.flatten(tails)
 
 
-def candidates(classes: DataFrame, depth: int, last: bool, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def candidates(classes: DataFrame, depth: int, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs of a level, and the members ``node, region`` of its crowded regions."""
     placed = _regions(classes, depth, percent)
     sizes = placed.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).where("size > 1")
@@ -151,10 +160,6 @@ def candidates(classes: DataFrame, depth: int, last: bool, percent: int = PERCEN
     pairs = small.select(F.explode(_pairs_within(F.col("all"))).alias("p")).select("p.a", "p.b")
     crowded = members.where(F.col("size") > REGION)
     pairs = pairs.unionByName(crowded.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")))
-    if last:  # blocks keep the order within a region from meeting in one task
-        block = Window.partitionBy("region", F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), (F.col("size") / 256).cast("int")))).orderBy("node")
-        chain = crowded.select(F.lag("node").over(block).alias("a"), F.col("node").alias("b"))
-        pairs = pairs.unionByName(chain.where("a IS NOT NULL"))
     return pairs.distinct(), crowded.select("node", "region")
 
 
@@ -199,6 +204,106 @@ def links(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFra
     return joined.mapInPandas(_confirm(percent), "a bigint, b bigint")
 
 
+def _linked(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets of side 0 link with which of side 1, as a symmetric matrix; among themselves if all have side 0."""
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    one, two = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+    crossed = len(two) > 0
+    if crossed:
+        useful = (np.bincount(codes[sides[owner] == 0], minlength=codes.max() + 1) > 0) & (
+            np.bincount(codes[sides[owner] == 1], minlength=codes.max() + 1) > 0)
+    else:
+        two, useful = one, np.bincount(codes) > 1
+    column = np.cumsum(useful) - 1
+    some = useful[codes]
+    owner, codes = owner[some], column[codes[some]]
+    order = np.argsort(codes, kind="stable")
+    owner, codes = owner[order], codes[order]
+    shared = np.zeros((len(one), len(two)), np.float32)
+    for start in range(0, int(useful.sum()), SLICE):
+        lo, hi = np.searchsorted(codes, [start, start + SLICE])
+        has = np.zeros((len(sets), SLICE), np.float32)
+        has[owner[lo:hi], codes[lo:hi] - start] = 1
+        shared += has[one] @ has[two].T
+    shared = shared.astype(np.int64)
+    links = 100 * shared >= percent * (sizes[one][:, None] + sizes[two][None, :] - shared)
+    linked = np.zeros((len(sets), len(sets)), bool)
+    linked[np.ix_(one, two)] = links
+    if crossed:
+        linked[np.ix_(two, one)] = links.T
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def _crowd_cell(nodes: list[int], sides: list[int], sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """(smallest connected member, member) of the members of a cell that link."""
+    linked = _linked(sets, np.array(sides), percent)
+    label = np.array(nodes)
+    places = np.flatnonzero(linked.any(axis=1))
+    linked, label = linked[np.ix_(places, places)], label[places]
+    own = label
+    while len(label):
+        least = np.minimum(label, np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1))
+        if (least == label).all():
+            break
+        label = least
+    return ((a, b) for a, b in zip(label.tolist(), own.tolist(), strict=True) if a != b)
+
+
+def _crowd_cells(percent: int):
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Words()
+        cell, nodes, sides, sets = None, [], [], []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            found = list(_crowd_cell(nodes, sides, sets, percent)) if len(nodes) > 1 else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            for *at, side, node, text in zip(*columns, strict=True):
+                if at != cell:
+                    yield from done()
+                    cell, nodes, sides, sets = at, [], [], []
+                nodes.append(node)
+                sides.append(side)
+                sets.append(shingles(text, known))
+        yield from done()
+
+    return cells
+
+
+def crowd_links(members: DataFrame, texts: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """Links that connect what is linked among the ``members(node, region, group)`` of each region, from all pairs.
+
+    Pairs within a group of more than ``block`` classes are not compared: they add nothing.
+    """
+    leaders = members.groupBy("region").agg(F.min("node").alias("a"))
+    crowds = components(members.join(leaders, "region").select("a", F.col("node").alias("b")), "crowds")
+    own = members.select("node", "group").distinct().join(crowds, "node").withColumnRenamed("component", "crowd")
+    large = own.groupBy("crowd", "group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select("crowd", "group", F.lit(True).alias("alone"))
+    part = own.join(large, ["crowd", "group"], "left").select(
+        "node", "crowd", F.coalesce("alone", F.lit(False)).alias("alone"), F.when(F.col("alone"), F.col("group")).otherwise(0).alias("part"))
+    part = stored(part, "crowd-parts")
+    keys = ["crowd", "alone", "part"]
+    sizes = part.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    dealt = part.join(sizes, keys).select(*keys, F.xxhash64("alone", "part", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block"), "node")
+    dealt = stored(dealt, "crowd-blocks")
+    blocks = dealt.select(*keys, "block").distinct()
+    other = blocks.select("crowd", F.col("alone").alias("alone2"), F.col("part").alias("part2"), F.col("block").alias("hi"))
+    same = F.col("alone") & F.col("alone2") & (F.col("part") == F.col("part2"))
+    cells = blocks.withColumnRenamed("block", "lo").join(other, "crowd").where((F.col("lo") <= F.col("hi")) & ~same).select("crowd", "lo", "hi")
+    sides = cells.select("*", F.col("lo").alias("block"), F.lit(0).alias("side")).unionByName(
+        cells.where("lo < hi").select("*", F.col("hi").alias("block"), F.lit(1).alias("side")))
+    rows = sides.join(dealt.select("crowd", "block", "node"), ["crowd", "block"]).join(texts.withColumnRenamed("doc_id", "node"), "node")
+    cell = ["crowd", "lo", "hi"]
+    return rows.select(*cell, "side", "node", "t").repartition(*cell).sortWithinPartitions(*cell).mapInArrow(
+        _crowd_cells(percent), "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable), kept."""
     known = stored(sketches(docs, text), "sketches")
@@ -209,8 +314,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
     first = own.groupBy("node").agg(F.min(F.struct("k1", "k2", "signature")).alias("s"))
     classes = stored(first.select("node", "s.signature"), "classes")
     found, groups, texts, left = None, None, None, classes
-    for depth in DEPTHS:
-        pairs, crowded = candidates(left, depth, depth == DEPTHS[-1], percent)
+    for depth in (d for d in DEPTHS if len(orders(d, percent)) <= ORDERS):
+        pairs, crowded = candidates(left, depth, percent)
         likely = stored(_likely(pairs, classes, percent), "likely")
         if texts is None:  # deeper levels only know classes that are crowded here
             ends = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node")))
@@ -222,9 +327,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
         group = F.coalesce("component", "node").alias("group")
         placed = crowded.join(groups, "node", "left").select("node", "region", group)
         open_ = placed.groupBy("region").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
-        left = stored(classes.join(placed.join(open_, "region", "left_semi").select("node").distinct(), "node", "left_semi"), "deeper")
-        if depth == DEPTHS[-1] or left.isEmpty():
+        members = placed.join(open_, "region", "left_semi")
+        left = stored(classes.join(members.select("node").distinct(), "node", "left_semi"), "deeper")
+        if left.isEmpty():
             break
+    else:
+        rest = stored(crowd_links(members, texts, percent), "links")
+        if not rest.isEmpty():
+            groups = stored(components(found.unionByName(rest)), "groups")
     mapped = heads.join(groups, "node", "left").select(*keys, F.coalesce("component", "node").alias("_group"))
     component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("_group")), F.col("doc_id"))
     return known.join(mapped, keys, "left").select(

@@ -76,6 +76,37 @@ def test_documents(spark):
     assert got == {d: (n, c, c == d) for d, (n, c) in expected(rows).items()}
 
 
+def crowd(number, planted):
+    """Texts around one passage at 0.849 of each other, just below the threshold, and pairs among them at 0.88."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=8))
+    passage = [word() for _ in range(150)]
+    tails = [[word() for _ in range(13)] for _ in range(number)]
+    ids = rng.sample(range(number), 2 * planted)
+    pairs = [tuple(sorted(ids[i:i + 2])) for i in range(0, 2 * planted, 2)]
+    for a, b in pairs:
+        tails[b][:3] = tails[a][:3]
+    return [(i, " ".join([*passage, *tail])) for i, tail in enumerate(tails)], pairs
+
+
+def test_pairs_in_a_crowd_below_the_threshold(spark):
+    rows, pairs = crowd(800, 80)
+    sets = [shingles(t) for _, t in rows[:40]]
+    assert max(len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[:i]) < 0.89
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)).collect()}
+    assert got == groups(range(800), pairs)
+
+
+def test_cells_of_a_crowd(spark):
+    """Small blocks: the same links, whether or not groups have blocks of their own."""
+    rows, pairs = crowd(300, 20)
+    texts = spark.createDataFrame(rows, "doc_id bigint, t string")
+    members = spark.range(300).selectExpr("id AS node", "explode(array(id % 2, 2)) AS region", "IF(id >= 290, 290L, id) AS group")
+    for block in (7, 400):
+        found = [tuple(r) for r in minhash.crowd_links(members, texts, block=block).collect()]
+        assert groups(range(300), found) == groups(range(300), [(a, b) for a, b in pairs if a < 290 or b < 290 or block > 10])
+
+
 def test_odd_document_tables(spark):
     same = "a b c d e f g"
     docs = spark.createDataFrame([(3, same), (3, same), (None, same), (9, same)], "doc_id bigint, text string")
