@@ -2,19 +2,21 @@
 
 The DOMs of a host's pages are merged into one tree: elements with the same path of tags, classes and ids are one
 style node, whatever page they come from. A node's importance is the entropy of what its branch contains over the
-pages that have it, divided by its highest possible value: 0 if every page shows the same, 1 if no two pages do. Nodes
+pages that have it, divided by its highest possible value: 0 if every page shows the same, 1 if no two pages do. Pages
+of a host with the same marked main part, or without one the same text, are one page here, so copies are no evidence. Nodes
 that state their purpose need no statistics: menus, forms, adverts, notices, comments and the like have importance 0,
 ``article`` and ``main`` have importance 1. Each page then loses its branches of low importance; where a page marks its
 main part, what stands outside it goes as well. Plain paragraphs and headings inside a marked main part always stay, so
 that pages which are copies of each other keep their article.
 
 Pages are parsed as streams of tags on the executors, tolerantly: unclosed and stray tags, raw elements, cut-off pages.
-Statistics are counted per (host, node, content) with partial aggregation, so a hot host is no group anywhere; only
+Copies are reduced per (host, hash of the main text) and statistics counted per (host, node, content), both with partial
+aggregation, so neither a hot host nor a page of many copies is a group in one task; only
 style nodes that can be removed go back to the pages, as one short row per host, by a join on host and a salt of the page,
 so a host with a third of all pages is spread as well.
 
 Defined cases: null and empty html, and pages with nothing but boilerplate, give an empty text. A url without a host
-has no siblings, so only stated purposes count. Repeated pages are extracted alike. Extra columns are not carried.
+has no siblings, so only stated purposes count. Repeated pages are extracted alike and change no other page. Extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -167,20 +169,26 @@ def parse(html: str | None) -> tuple[list[tuple[int, int]], list[tuple[str, list
 
 def _nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = []
+        found, keys = [], []
         for html in batch["html"]:
             merged: dict[int, int] = {}
-            for node, content in parse(html)[0]:  # siblings of one style are one node
+            nodes, blocks = parse(html)
+            for node, content in nodes:  # siblings of one style are one node
                 merged[node] = (31 * merged.get(node, 0) + content) % (1 << 62)
             found.append([{"node": n, "content": c} for n, c in merged.items()])
-        yield pd.DataFrame({"host": batch["host"], "nodes": found})
+            keys.append(xxhash.xxh3_64_intdigest("\n".join(t for t, _ in blocks).encode("utf-8", "replace")) - (1 << 63))
+        yield pd.DataFrame({"host": batch["host"], "main": keys, "nodes": found})
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """Importance of each style node of each host: host, node, pages, importance. ``pages`` has ``host`` and ``html``."""
-    found = pages.where("host <> ''").select("host", "html").mapInPandas(_nodes, f"host string, nodes {NODES}")
+    """Importance of each style node of each host: host, node, pages, importance. ``pages`` has ``host`` and ``html``.
+
+    Of the pages with the same main text, the one with the least nodes counts.
+    """
+    found = pages.where("host <> ''").select("host", "html").mapInPandas(_nodes, f"host string, main bigint, nodes {NODES}")
+    distinct = found.groupBy("host", "main").agg(F.min("nodes").alias("nodes"))
     counts = (
-        found.select("host", F.explode("nodes").alias("n"))
+        distinct.select("host", F.explode("nodes").alias("n"))
         .groupBy("host", F.col("n.node").alias("node"), F.col("n.content").alias("content")).agg(F.count(F.lit(1)).alias("c"))
     )
     sums = counts.groupBy("host", "node").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log("c")).alias("s"))

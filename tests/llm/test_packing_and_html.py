@@ -125,3 +125,19 @@ def test_style_trees(spark):
     assert got[200] == [""] and len(got[201][0]) == 5 * 50_000 - 1
     assert got[None] == ["same"] and all(got[300 + i] == ["same"] for i in range(8))
     assert html_text.main_text(pages.limit(0)).collect() == []
+
+
+def test_copies_are_no_evidence(spark):
+    """A page of many copies keeps its text, and so do the other pages of its host; a true notice still goes."""
+    page = lambda host, i, body: (i, f"http://{host}.example/{i}", f"<body>{body}")
+    story = lambda i: f"<div class=content><p>Story {i} goes here.</p></div>"
+    inside = lambda i, n: f"<div class=strip><p>Day {n}</p></div><article><div class=content><p>Story {i}</p></div></article>"
+    notice = "<div class=terms><p>Read our terms.</p></div>"
+    rows = [page("one", i, story(0)) for i in range(4)]
+    rows += [page("hot", 100 + i, notice + story(max(0, i - 90))) for i in range(100)]
+    rows += [page("main", 300 + i, inside(max(0, i - 90), i)) for i in range(100)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
+    assert got == {
+        **{i: "Story 0 goes here." for i in range(4)}, **{100 + i: f"Story {max(0, i - 90)} goes here." for i in range(100)},
+        **{300 + i: f"Story {max(0, i - 90)}" for i in range(100)}}
