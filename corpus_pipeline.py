@@ -13,6 +13,10 @@ from cadenza.llm import minhash, packing, quality_rules, toxicity
 from cadenza.llm.common import stored, table
 
 
+#: Near duplicates share this part of their shingles, of 100. op5_minhash has its own.
+PERCENT = 80
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality_rules.quality(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
@@ -25,11 +29,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates.
+    """The document with the smallest id of each group of near duplicates: 5-word shingles, similarity 0.8 or more.
 
     Rows that repeat an id are one document, of which one row stays. Rows without an id all stay.
     """
-    kept = minhash.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    kept = minhash.near_duplicates(docs, percent=PERCENT).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[c for c in docs.columns if c != "doc_id"]))
     own = docs.join(kept.hint("merge"), "doc_id", "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1")
     return own.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

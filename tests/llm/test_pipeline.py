@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import corpus_pipeline
 import pytest
-from test_duplicates import expected
+from test_duplicates import expected, groups, shingles
 from test_packing_and_html import TOKENIZER, valid
 from test_scoring import base_counts
 
@@ -64,3 +64,21 @@ def test_empty_tables(spark, tables, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_duplicates_from_a_similarity_of_080(spark, tmp_path):
+    """Copies at 0.80 and 0.84 go, one at 0.79 stays; by brute force at 80."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=7))
+    rows = []
+    for k in range(0, 24, 3):
+        base = [word() for _ in range(150)]
+        rows.append((k, " ".join(base)))
+        for j, changed in ((1, 13), (2, 17)):  # words at the end, so each costs one shingle
+            rows.append((k + j, " ".join([*base[:-changed], *(word() for _ in range(changed))])))
+    sets = {i: shingles(t) for i, t in rows}
+    pairs = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert len(pairs) == 8
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(groups(sets, pairs).values()))
