@@ -1,12 +1,12 @@
 """License scan: headers and licence files by TF-IDF cosine to templates, then inheritance down the directories.
 
-* **Windows.** Every line of the whole text that has a word of licence language (``TRIGGERS``) is a window; a line of
-  more than ``WIDTH`` words is several, every ``STEP`` words. So a header is found anywhere in a file, and a licence file
-  is as many windows.
-* **Cosine.** Windows and templates are sparse vectors of words, weighted by term frequency and by the inverse frequency
-  of a word over all windows that go on and all templates. The dot products come from one join of the windows' words
-  with the templates' words, a table that is as large as the templates and nothing else. The best template of any window
-  at or above ``threshold`` is the file's own licence; ties go to the name that sorts first.
+* **Windows.** The words of the whole text, whatever the line breaks and comment marks between them. For each template
+  every run of as many words as it has is a window, if it holds a word of licence language (``TRIGGERS``). So a header is
+  found anywhere in a line, behind a copyright notice, or wrapped over lines.
+* **Cosine.** Windows and templates are vectors of words, weighted by term frequency and by the inverse frequency of a word
+  over the templates. So a score depends on the window alone, not on the size or the other texts of the corpus. The best
+  template of any window at or above ``threshold`` is the file's own licence; ties go to the name that sorts first.
+* **Tags.** Identifiers behind ``SPDX-License-Identifier:`` that are licences of templates count as a cosine of 1.
 * **Inheritance.** A directory's licence comes from its licence files (names in ``LICENCE_FILES``), the best one first.
   Files without a licence of their own are joined with every ancestor of their path, and take the nearest that has one.
   Directories have one row each, so a directory with a third of all files is a key that adaptive execution may split.
@@ -17,13 +17,17 @@ are judged one by one. Extra columns are not carried. Without files or templates
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import stored
 
-WIDTH = 40
-STEP = 20
 THRESHOLD = 0.5
 #: Opening statements of common licences.
 TEMPLATES = [
@@ -41,7 +45,7 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved."),
 ]
 #: Words without which a window states no licence, and names of licence files.
-TRIGGERS = "licen[cs]e|licensed|copyright|copyleft|rights reserved|redistribut|permission|spdx|proprietary"
+TRIGGERS = "licen[cs]e|licensed|copyright|copyleft|rights[^a-z0-9]+reserved|redistribut|permission|spdx|proprietary"
 LICENCE_FILES = ("license", "licence", "copying", "notice", "unlicense")
 
 
@@ -49,46 +53,97 @@ def template_table(spark: SparkSession, templates: list[tuple[str, str]] | None
     return spark.createDataFrame(sorted(templates or TEMPLATES), "license string, text string")
 
 
-def _tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[a-z]+|[0-9][0-9.]*[0-9]|[0-9]"), F.lit(0))
-
-
-def windows(files: DataFrame, text: str = "text") -> DataFrame:
-    """Words of each window that may state a licence: fid, window, words. Texts without a trigger end here."""
-    lines = F.filter(F.split(F.lower(text), "\n"), lambda x: x.rlike(TRIGGERS))
-    hit = files.where(F.lower(F.col(text)).rlike(TRIGGERS)).select("fid", F.posexplode(lines).alias("line", "t"))
-    words = hit.select("fid", "line", F.split("t", r"\s+").alias("w"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1)), F.lit(STEP))
-    cut = words.select("fid", "line", F.posexplode(F.transform(starts, lambda i: F.concat_ws(" ", F.slice("w", i, WIDTH)))).alias("part", "t"))
-    return cut.where(F.col("t").rlike(TRIGGERS)).select("fid", F.concat_ws(".", "line", "part").alias("window"), _tokens(F.col("t")).alias("words"))
-
-
-def matches(cut: DataFrame, templates: DataFrame) -> DataFrame:
-    """Cosine of each window with each template that it shares a word with: fid, window, license, cosine."""
-    told = templates.distinct().select("license", "text", F.explode(_tokens(F.col("text"))).alias("word")).groupBy("license", "text", "word").agg(F.count(F.lit(1)).alias("ttf"))
-    terms = cut.select("fid", "window", F.explode("words").alias("word")).groupBy("fid", "window", "word").agg(F.count(F.lit(1)).alias("tf"))
-    terms = stored(terms, "licence-terms")
-    total = terms.select("fid", "window").distinct().agg(F.count(F.lit(1)).alias("n")).select((F.col("n") + 1).cast("double")).scalar()
-    frequency = terms.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(1 + total / (F.coalesce("df", F.lit(0)) + 1))
-    weighed = terms.join(frequency, "word").withColumn("w", (1 + F.log("tf")) * idf)
-    norms = weighed.groupBy("fid", "window").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    known = told.join(frequency, "word", "left").withColumn("tw", (1 + F.log("ttf")) * idf)
-    lengths = known.groupBy("license", "text").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tnorm"))
-    unit = known.join(lengths, ["license", "text"]).select("license", "text", "word", (F.col("tw") / F.col("tnorm")).alias("tw"))
-    dots = weighed.select("fid", "window", "word", "w").join(F.broadcast(unit), "word").groupBy("fid", "window", "license", "text").agg(
-        F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    return dots.join(norms, ["fid", "window"]).select("fid", "window", "license", (F.col("dot") / F.col("norm")).alias("cosine"))
+TOKEN = re.compile(r"[a-z]+|[0-9][0-9.]*[0-9]|[0-9]")
+TAG = re.compile(r"spdx-license-identifier:[ \t]*([^\n]*)")
+IDENTIFIER = re.compile(r"[a-z0-9.+-]+")
+
+
+class Matcher:
+    """Cosines of the windows of texts with templates."""
+
+    def __init__(self, templates: list[tuple[str, str]]):
+        told = [(name, TOKEN.findall((text or "").lower())) for name, text in templates]
+        told = [(name, words) for name, words in told if words]
+        often = Counter(word for _, words in told for word in set(words))
+        total = len(told) + 1
+        self.idf = {word: math.log(1 + total / (n + 1)) for word, n in often.items()}
+        self.unknown = math.log(1 + total)
+        self.trigger = re.compile(TRIGGERS)
+        self.names = {name.lower(): name for name, _ in templates}
+        self.templates = []
+        for name, words in told:
+            vector = {word: (1 + math.log(n)) * self.idf[word] for word, n in Counter(words).items()}
+            norm = math.sqrt(sum(v * v for v in vector.values()))
+            self.templates.append((name, len(words), {word: v / norm for word, v in vector.items()}))
+
+    def weight(self, word: str, n: int) -> float:
+        return (1 + math.log(n)) * self.idf.get(word, self.unknown) if n else 0.0
+
+    def best(self, text: str, threshold: float) -> tuple[float, str] | None:
+        """Negative cosine and licence of the best window, if it reaches the threshold."""
+        lower = text.lower()
+        found = [(-1.0, self.names[base]) for tag in TAG.findall(lower) for x in IDENTIFIER.findall(tag)
+                 if (base := re.sub(r"-(only|or-later)$|\+$", "", x)) in self.names]
+        spans = list(TOKEN.finditer(lower))
+        words = [m[0] for m in spans]
+        ends = [m.end() for m in spans]
+        hits, place = [], 0
+        for m in self.trigger.finditer(lower):
+            while place < len(ends) and ends[place] <= m.start():
+                place += 1
+            if place < len(ends):
+                hits.append(place)
+        for name, width, vector in self.templates:
+            stretches: list[list[int]] = []  # of words that windows around the triggers cover
+            for hit in hits:
+                lo, hi = max(0, hit - width + 1), min(len(words), hit + width)
+                if stretches and lo <= stretches[-1][1] - width + 1:
+                    stretches[-1][1] = hi
+                else:
+                    stretches.append([lo, hi])
+            found += [(-c, name) for lo, hi in stretches if (c := self.slide(words[lo:hi], width, vector)) >= threshold]
+        return min(found, default=None)
+
+    def slide(self, words: list[str], width: int, vector: dict[str, float]) -> float:
+        """The highest cosine of a run of ``width`` words."""
+        held: Counter = Counter()
+        dot = square = most = 0.0
+        for i, word in enumerate(words):
+            for changed, step in ((word, 1), (words[i - width] if i >= width else None, -1)):
+                if changed is not None:
+                    before, after = self.weight(changed, held[changed]), self.weight(changed, held[changed] + step)
+                    held[changed] += step
+                    dot += (after - before) * vector.get(changed, 0.0)
+                    square += after * after - before * before
+            if i >= width - 1 or i == len(words) - 1:
+                most = max(most, dot / math.sqrt(square))
+        return min(most, 1.0)
+
+
+def own_licences(files: DataFrame, templates: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The best licence of each file that states one: fid, own, score. Texts without a trigger end here."""
+    told = [(r.license, r.text) for r in templates.distinct().orderBy("license", "text").collect()]
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(told)
+        for batch in batches:
+            best = [matcher.best(t.as_py(), threshold) for t in batch.column(1)]
+            fids = batch.column(0).filter(pa.array([b is not None for b in best], pa.bool_()))
+            own, score = pa.array([b[1] for b in best if b], pa.string()), pa.array([-b[0] for b in best if b], pa.float64())
+            yield pa.RecordBatch.from_arrays([fids, own, score], ["fid", "own", "score"])
+
+    hit = files.where(F.lower(F.col(text)).rlike(TRIGGERS)).select("fid", F.col(text).alias("t"))
+    return hit.mapInArrow(judged, f"fid {files.schema['fid'].dataType.simpleString()}, own string, score double")
 
 
 def scan(files: DataFrame, templates: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``files(path, text, ...)`` with its ``fid``: license, score, origin (own, inherited, none), from_dir.
 
-    ``templates(license, text)`` must be small: it is broadcast.
+    ``templates(license, text)`` must be small: it is sent to all executors.
     """
-    found = matches(windows(files, text), templates).where(F.col("cosine") >= threshold)
-    best = found.groupBy("fid").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b")).select(
-        "fid", F.col("b.license").alias("own"), (-F.col("b.c")).alias("score"))
+    found = own_licences(files, templates, text, threshold)
+    best = found.groupBy("fid").agg(F.min(F.struct((-F.col("score")).alias("c"), "own")).alias("b")).select(
+        "fid", F.col("b.own").alias("own"), (-F.col("b.c")).alias("score"))
     placed = files.select("fid", "path")
     judged = stored(placed.join(best, "fid", "left"), "licence-own")
     name = F.lower(F.regexp_extract("path", r"([^/]*)$", 1))

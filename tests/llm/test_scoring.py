@@ -174,3 +174,27 @@ def test_licences(spark):
         11: ("GPL-3.0", "inherited", "a/b"), 12: ("MIT", "own", None), 13: ("GPL-3.0", "inherited", "a/b"), 14: ("GPL-3.0", "inherited", "a/b"),
     }
     assert licenses.scan(files.limit(0), licenses.template_table(spark)).collect() == []
+
+
+@pytest.mark.parametrize("text,want", [
+    ("Copyright 2019 Example Corp. Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("Copyright (c) 2021 Jane Doe. All rights reserved.", "Proprietary"), ("// All rights\n// reserved.", "Proprietary"),
+    ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("/* SPDX-License-Identifier: GPL-3.0-or-later */", "GPL-3.0"), ("SPDX-License-Identifier: ISC", None),
+    ("plain words " * 30 + "Released under the MIT License. " + "more words " * 30, "MIT"),
+    (" * Use of this source\n * code is governed by\n * a BSD-style\n * license.", "BSD-3-Clause"),
+    ("Permission is hereby granted,\nfree of charge, to any person obtaining a copy of\nthis software and associated documentation files", "MIT"),
+    ("The council gave its permission to build", None), ("", None),
+])
+def test_licences_anywhere(text, want):
+    found = licenses.Matcher(licenses.TEMPLATES).best(text, licenses.THRESHOLD)
+    assert (found and found[1]) == want
+
+
+def test_licence_scores_do_not_depend_on_the_corpus(spark):
+    header = "Copyright 2019 Example Corp. Licensed under the Apache License, Version 2.0."
+    rows = [(0, "a/b.py", header), *((i, f"c/{i}.py", "Released under the MIT License.") for i in range(1, 500))]
+    scores = []
+    for n in (1, 500):
+        files = spark.createDataFrame(rows[:n], "fid bigint, path string, text string")
+        scores += [(r.license, r.score) for r in licenses.scan(files, licenses.template_table(spark)).where("fid = 0").collect()]
+    assert scores[0] == scores[1] and scores[0][0] == "Apache-2.0" and scores[0][1] > 0.99
