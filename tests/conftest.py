@@ -1,12 +1,12 @@
 import os
 import sys
-from datetime import datetime, timedelta
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from cadenza.session import local_session  # noqa: E402
+from panel_helpers import at  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,11 +21,6 @@ def folder(tmp_path):
     return str(tmp_path)
 
 
-def at(hour: float) -> datetime:
-    """Local time, ``hour`` hours after the start of 2024."""
-    return datetime(2024, 1, 1) + timedelta(hours=hour)
-
-
 @pytest.fixture
 def series(spark):
     """Panel from {spot: [value per hour from hour 0]}; None is missing."""

@@ -1,7 +1,7 @@
 from math import pi, sin
 
 import pytest
-from conftest import at
+from panel_helpers import at
 from pyspark.sql import functions as F
 
 from cadenza.operators import features, scale, windows

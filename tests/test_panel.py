@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import at
+from panel_helpers import at
 from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F

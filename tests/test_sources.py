@@ -3,7 +3,7 @@ import os
 import re
 
 import pytest
-from conftest import at
+from panel_helpers import at
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@ import random
 from math import log1p, sqrt
 
 import pytest
-from conftest import at
+from panel_helpers import at
 from pyspark.sql import functions as F
 
 from cadenza.operators import features, scale, split, windows
