@@ -44,6 +44,8 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import stored
 
 MARK = "▁"
+GAP = "\0"
+OPEN, NONE = -1, -2
 UNIT = 32
 UNITS = re.compile(r"[^\W\d_]{1,%d}" % UNIT)
 ROUNDS = 2
@@ -81,35 +83,36 @@ class Pieces:
         return cls({model.id_to_piece(i): i for i in plain}, tuple(byte), size)
 
     @cached_property
-    def beginnings(self) -> set[str]:
-        return {p[:n] for p in self.numbers for n in range(1, len(p) + 1)}
+    def beginnings(self) -> dict[str, int]:
+        """Every beginning of a piece, with the piece's number where it is a whole one."""
+        return {**dict.fromkeys((p[:n] for p in self.numbers for n in range(1, len(p))), OPEN), **self.numbers}
 
 
 class Lattice:
     """All segmentations of some units: an arc per piece that fits, from its start to its end in its unit."""
 
     def __init__(self, units: list[str], pieces: Pieces):
-        unit, start, end, piece, more = [], [], [], [], []
-        numbers, beginnings = pieces.numbers, pieces.beginnings
-        self.lengths = np.array([len(u) + 1 for u in units])
-        for k, text in enumerate(units):
-            text = MARK + text
-            for i in range(len(text)):
-                if text[i] not in numbers:
-                    for at, b in enumerate(text[i].encode("utf-8", "surrogatepass")):
-                        if at:
-                            more.append((len(unit) - 1, pieces.byte[b]))
-                        else:
-                            unit.append(k), start.append(i), end.append(i + 1), piece.append(pieces.byte[b])
-                for j in range(i + 1, len(text) + 1):
-                    part = text[i:j]
-                    found = numbers.get(part)
-                    if found is not None:
-                        unit.append(k), start.append(i), end.append(j), piece.append(found)
-                    elif part not in beginnings:
-                        break
-        self.unit, self.start, self.end, self.piece = (np.array(a, np.int64) for a in (unit, start, end, piece))
-        self.more_arc, self.more_piece = np.array(more, np.int64).reshape(-1, 2).T
+        text = GAP.join([MARK + u for u in units])  # no piece has a gap, so none reaches over one
+        self.lengths = np.array([len(u) + 1 for u in units], np.int64)
+        first = np.cumsum(self.lengths + 1) - self.lengths - 1
+        unit = np.repeat(np.arange(len(units)), self.lengths)
+        at = np.arange(len(unit)) + unit
+        arcs, get, n = [], pieces.beginnings.get, 0
+        while len(at):
+            n += 1
+            found = np.array([get(text[i:i + n], NONE) for i in at.tolist()], np.int64)
+            on = found != NONE
+            if n == 1:
+                odd = np.flatnonzero(found < 0)
+                chains = [text[i].encode("utf-8", "surrogatepass") for i in at[odd].tolist()]
+                found[odd] = [pieces.byte[c[0]] for c in chains]
+                more = [(arc, pieces.byte[b]) for arc, c in zip(odd.tolist(), chains, strict=True) for b in c[1:]]
+                self.more_arc, self.more_piece = np.array(more, np.int64).reshape(-1, 2).T
+            whole = found >= 0
+            start = at[whole] - first[unit[whole]]
+            arcs.append((unit[whole], start, start + n, found[whole]))
+            unit, at = unit[on], at[on]
+        self.unit, self.start, self.end, self.piece = (np.concatenate(c) for c in zip(*arcs, strict=True))
 
     def weights(self, logs: np.ndarray) -> np.ndarray:
         """Per arc what ``logs`` has for its piece, byte chains added up. ``logs``: pieces by languages."""
