@@ -9,7 +9,7 @@ from cadenza.operators.clean import align_features
 from cadenza.operators.features import time_features, wind_features
 from cadenza.operators.grid import steps_until
 from cadenza.operators.joins import lookup_join
-from cadenza.operators.segments import ORDINAL, over_segments, with_ordinal
+from cadenza.operators.segments import ORDINAL, SEGMENT, over_segments, segment_of, with_ordinal
 from cadenza.spec import HOURLY, PanelSpec
 
 
@@ -29,13 +29,9 @@ def sliding_windows(
     rows 0, stride, 2*stride... of the series, by position. Features must not be
     null. ``carry`` keeps columns of the origin row.
     """
-    placed = with_ordinal(df, spec)
-    keep = (F.col("_in") == window) & (F.col("_out") == horizon)
+    placed = with_ordinal(df, spec).withColumn("_row", F.array(*[F.col(c).cast("double") for c in features]))
     if stride > 1:
-        starts = placed.groupBy(*spec.series).agg(F.min(ORDINAL).alias("_first"))
-        placed = lookup_join(placed, starts, spec.series)
-        keep = keep & (F.pmod(F.col(ORDINAL) - (window - 1) - F.col("_first"), F.lit(stride)) == 0)
-    row = F.array(*[F.col(c).cast("double") for c in features])
+        return _strided(placed, window, horizon, stride, spec, carry or [])
 
     def made(w):
         past, future = w.rowsBetween(-(window - 1), 0), w.rowsBetween(1, horizon)
@@ -48,11 +44,40 @@ def sliding_windows(
         }
 
     windows = over_segments(
-        placed.withColumn("_row", row), spec, made, before=window - 1, after=horizon, keep=keep)
+        placed, spec, made, before=window - 1, after=horizon, keep=(F.col("_in") == window) & (F.col("_out") == horizon))
     return windows.select(
         *spec.series, F.col(spec.time).alias("origin_time"), "target_time", "x", "y", *(carry or []))
 
 
+def _strided(placed: DataFrame, window: int, horizon: int, stride: int, spec: PanelSpec, carry: list[str]) -> DataFrame:
+    """Windows that start every ``stride`` rows: each row goes to the starts whose window holds it, and nothing else.
+
+    Rows are dealt once by (series, segment of the start), a row near a border to both segments; the grouping by start
+    needs no further exchange. A row is copied (window + horizon) / stride times inside its task, never if the windows
+    leave it out.
+    """
+    length = window + horizon
+    firsts = placed.groupBy(*spec.series).agg(F.min(ORDINAL).alias("_first"))
+    place = F.col(ORDINAL) - F.col("_first")
+    newest = place - F.pmod(place, F.lit(stride))
+    size = max(spec.segment // stride, 1) * stride  # starts of one segment lie evenly
+    oldest = F.greatest(place - (length - 1), F.lit(0))
+    dealt = lookup_join(placed, firsts, spec.series).withColumns({"_place": place, "_newest": newest, "_oldest": oldest})
+    dealt = dealt.withColumn("_oldest", F.col("_oldest") + F.pmod(-F.col("_oldest"), F.lit(stride))).where("_oldest <= _newest")
+    dealt = dealt.withColumn(SEGMENT, F.explode(F.sequence(
+        segment_of(F.col("_oldest"), size), segment_of(F.col("_newest"), size)))).repartition(*spec.series, SEGMENT)
+    low, high = F.greatest("_oldest", F.col(SEGMENT) * size), F.least("_newest", F.col(SEGMENT) * size + (size - stride))
+    started = dealt.withColumn("_start", F.explode(F.sequence(low, high, F.lit(stride).cast("bigint"))))
+    step = F.struct("_place", spec.time, spec.value, "_row", *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
+    grouped = started.groupBy(*spec.series, SEGMENT, "_start").agg(F.array_sort(F.collect_list(step)).alias("_steps"))
+    steps, origin = F.col("_steps"), F.element_at("_steps", window)
+    return grouped.where(F.size(steps) == length).select(
+        *spec.series, origin[spec.time].alias("origin_time"), F.element_at(steps, length)[spec.time].alias("target_time"),
+        F.transform(F.slice(steps, 1, window), lambda s: s["_row"]).alias("x"),
+        F.transform(F.slice(steps, window + 1, horizon), lambda s: s[spec.value]).alias("y"),
+        *[origin[f"_c{i}"].alias(c) for i, c in enumerate(carry)])
+
+
 def windows_with_time(
     df: DataFrame,
     features: list[str],

@@ -443,6 +443,13 @@ SELECT event_id, {r('greatest(value - 20, 0.0)')} AS clipped, {r('ln(1 + greates
     "json_records": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_type FROM events",
     "csv_encodings": with_(READINGS, HOURLY) + f"""
 SELECT spot_num, count(*) AS n, {r('sum(vol)', 4)} AS vol, '성산로-' || spot_num AS spot_nm, true AS has_source FROM hourly GROUP BY spot_num""",
+    "csv_drift": with_(READINGS, HOURLY) + f"""
+SELECT h.spot_num, h.n, h.vol, s.n_lane, s.n_io, s.spot_nm
+FROM (SELECT spot_num, count(*) AS n, {r('sum(vol)', 4)} AS vol FROM hourly GROUP BY spot_num) h
+JOIN (SELECT spot_num, count(*) FILTER (spot_num NOT LIKE 'error-%') AS n_lane,
+    count(*) FILTER (spot_num NOT LIKE 'error-%' AND spot_num NOT LIKE 'view-%') AS n_io,
+    CASE WHEN spot_num LIKE 'error-%' THEN '성산로-' || spot_num END AS spot_nm
+  FROM readings GROUP BY spot_num) s ON h.spot_num = s.spot_num""",
     "panel_store": with_(*BASE) + f"SELECT spot_num, datetime, {r('vol')} AS vol FROM volumes WHERE spot_num IN ('click-1', 'view-2')",
     "xml_rows": with_(READINGS) + """
 SELECT spot_num, ymd, TRY_CAST(hh AS DOUBLE) AS hh, CAST(lane_num AS DOUBLE) AS lane_num, io_type,

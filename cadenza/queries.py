@@ -448,6 +448,26 @@ def csv_encodings(spark, d):
         names, "spot_num"), 4)
 
 
+def csv_drift(spark, d):
+    """Readings written under three headers in two encodings, read back by name."""
+    raw = adapters.readings(spark, d).withColumn("spot_nm", F.concat(F.lit("성산로-"), "spot_num"))
+    folder = scratch_path(spark, "csv")
+    tables.allow_korean(spark)
+    kind = F.substring_index("spot_num", "-", 1)
+    for name, mine, columns, charset in (
+        ("error", kind == "error", ["ymd", "spot_num", "spot_nm", "vol", "hh"], tables.KOREAN),
+        ("view", kind == "view", ["vol", "hh", "ymd", "lane_num", "spot_num"], tables.UNICODE),
+        ("rest", ~kind.isin("error", "view"), ["spot_num", "ymd", "hh", "lane_num", "io_type", "vol"], tables.UNICODE),
+    ):
+        raw.where(mine).select(*columns).write.option("header", True).option("encoding", charset).csv(f"{folder}/{name}")
+    back = tables.read_history(spark, f"{folder}/*/*.csv")
+    hourly = grid.hourly_sum(back.select("spot_num", "ymd", "hh", "vol"))
+    seen = back.groupBy("spot_num").agg(
+        F.count("lane_num").alias("n_lane"), F.count("io_type").alias("n_io"), F.max("spot_nm").alias("spot_nm"))
+    return rounded(hourly.groupBy("spot_num").agg(F.count(F.lit(1)).alias("n"), F.sum("vol").alias("vol")).join(
+        seen, "spot_num"), 4)
+
+
 def panel_store(spark, d):
     path = scratch_path(spark, "panel")
     tables.write_panel(_volumes(spark, d), path)
@@ -658,7 +678,7 @@ QUERIES = {f.__name__: f for f in (
     selection_record, model_tags, model_filter, importance_by_feature, topk_features, overview, quality_summary,
     histogram_50, corr_matrix, mode_spot, top50, head50, sorted_spots, label_at_horizon, forecast_join,
     spots_with_forecast, idle_spots, union_readings, tm_to_lonlat, date_functions, value_functions, json_records,
-    csv_encodings, panel_store, metrics_files, xml_rows, pending_work, ingest_resume, ingest_progress, lag_gappy, gbt_score, second_learner,
+    csv_encodings, csv_drift, panel_store, metrics_files, xml_rows, pending_work, ingest_resume, ingest_progress, lag_gappy, gbt_score, second_learner,
     importance_subset, train_compare, recursive_forecast, busiest_spots, rolling_eval, backtest,
     rolling_naive, backtest_naive, forecast_naive, busiest_naive,
 )}

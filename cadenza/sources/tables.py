@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import re
+from dataclasses import dataclass
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,24 +23,33 @@ KOREAN = "MS949"
 REPLACEMENT = "�"
 
 
-def _csv_files(spark: SparkSession, pattern: str) -> list[str]:
-    listing = spark.read.format("binaryFile").load(pattern).select("path")
-    files = sorted(row.path for row in listing.collect())
-    if not files:
-        raise FileNotFoundError(f"no file matches {pattern}")
-    return files
-
-
 def allow_korean(spark: SparkSession) -> None:
-    """Let the session read and write MS949."""
+    """Let the session read and write MS949; scans need it whenever they run, so it stays on."""
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
 
 
-def file_encodings(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
-    """Files grouped by the first encoding that decodes every one of their lines.
+@dataclass(frozen=True)
+class CsvLayout:
+    """Files that share an encoding and a header line."""
+
+    encoding: str
+    header: bytes
+    files: list[str]
+
+    def names(self) -> list[str] | None:
+        """Column names as written; None if they are blank or repeated, so that the reader must invent some."""
+        names = next(csv.reader([self.header.decode(self.encoding)]))
+        known = {c.strip().lower() for c in names}
+        return names if len(known) == len(names) and "" not in known else None
 
-    Lines are checked where they are read, in parallel and over whole files; one
-    flag per file comes back. A file that fits no encoding is an error.
+
+def csv_layouts(spark: SparkSession, pattern: str, encoding: str | None = None) -> list[CsvLayout]:
+    """The files of a pattern by encoding and header, found in one pass over their lines.
+
+    The encoding is the first one that decodes every line of the file, the header its first line that is not blank.
+    Both are combined per file where lines are read, and files per layout before anything reaches the driver, which
+    gets the distinct headers and the file names each scan is given. Files without a line are left out; one that fits
+    no encoding is an error.
     """
     allow_korean(spark)
     # While checking, undecodable bytes become a mark instead of an error.
@@ -43,62 +57,74 @@ def file_encodings(spark: SparkSession, files: list[str]) -> dict[str, list[str]
     before = spark.conf.get(lenient)
     spark.conf.set(lenient, "true")
     try:
-        lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), "value")
-        korean = F.decode(F.col("value").cast("binary"), KOREAN)
-        checked = lines.groupBy("file").agg(
-            F.bool_and(F.is_valid_utf8("value")).alias("unicode"),
-            F.bool_and(~F.contains(korean, F.lit(REPLACEMENT))).alias("korean")).collect()
+        lines = spark.read.text(pattern).select(
+            F.col("_metadata.file_path").alias("file"), "value",
+            F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+        written = F.trim("value") != ""
+        charset = F.lit(encoding)
+        if not encoding:
+            korean = ~F.contains(F.decode(F.col("value").cast("binary"), KOREAN), F.lit(REPLACEMENT))
+            charset = F.when(F.bool_and(F.is_valid_utf8("value")), UNICODE).when(F.bool_and(korean), KOREAN)
+        by_file = lines.groupBy("file").agg(
+            charset.alias("encoding"),
+            F.min_by(F.when(written, F.col("value").cast("binary")), F.when(written, F.col("at"))).alias("header"))
+        found = by_file.groupBy("encoding", "header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
     finally:
         spark.conf.set(lenient, before)
-    groups: dict[str, list[str]] = {}
-    for row in checked:
-        if not (row.unicode or row.korean):
-            raise UnicodeError(f"{row.file}: neither {UNICODE} nor {KOREAN}")
-        groups.setdefault(UNICODE if row.unicode else KOREAN, []).append(row.file)
-    return groups
+    layouts = []
+    for row in found:
+        if row.encoding is None:
+            raise UnicodeError(f"{row.files[0]}: neither {UNICODE} nor {KOREAN}")
+        if row.header is not None:
+            layouts.append(CsvLayout(row.encoding, bytes(row.header), [_literal(f) for f in row.files]))
+    if not layouts:
+        raise FileNotFoundError(f"no file with lines matches {pattern}")
+    return sorted(layouts, key=lambda x: x.files[0])
+
+
+def _literal(url: str) -> str:
+    """The path of a file's address, its wildcards escaped."""
+    return re.sub(r"([*?{}\[\]\\])", r"\\\1", unquote(url))
 
 
 def read_csv(
     spark: SparkSession,
     pattern: str,
     schema: T.StructType | str | None = None,
-    drift: bool = False,
     provenance: str | None = None,
     encoding: str | None = None,
 ) -> DataFrame:
-    """All CSV files of a pattern, whatever their encoding, as text columns with trimmed headers.
+    """All CSV files of a pattern as text columns with trimmed headers, whatever their encoding and order of columns.
 
-    ``schema`` fixes the columns (else the header of the files does). With
-    ``drift`` the headers may differ from file to file: columns are matched by
-    name. ``provenance`` names a column for the file name. Detection reads every
-    file once more; a known ``encoding`` avoids that.
+    Columns are matched by name: there is one scan per distinct header, and Spark compares each file with the header
+    of its scan again when it reads. A column that a file lacks is null there. ``schema`` chooses and types the
+    columns, also by name. ``provenance`` names a column for the file name. Finding the layouts reads every file once
+    more.
     """
+    origin = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     frames = []
-    files = _csv_files(spark, pattern)
-    if encoding == KOREAN:
-        allow_korean(spark)
-    groups = {encoding: files} if encoding else file_encodings(spark, files)
-    for charset, files in sorted(groups.items()):
-        reader = spark.read.option("header", True).option("encoding", charset)
-        batches = [files]
-        if drift:
-            by_header: dict[tuple[str, ...], list[str]] = {}
-            for name in files:
-                by_header.setdefault(tuple(reader.csv(name).columns), []).append(name)
-            batches = list(by_header.values())
-        for batch in batches:
-            typed = reader.schema(schema) if schema is not None else reader
-            frame = trim_headers(typed.csv(batch))
-            if provenance:
-                frame = frame.select("*", F.col("_metadata.file_name").alias(provenance))
-            frames.append(frame)
+    for layout in csv_layouts(spark, pattern, encoding):
+        reader = spark.read.option("header", True).option("encoding", layout.encoding)
+        names = layout.names()
+        if names:
+            types = {f.name: f.dataType for f in wanted or []}
+            fields = [T.StructField(c, types.get(c.strip(), T.StringType())) for c in names]
+            reader = reader.schema(T.StructType(fields)).option("enforceSchema", False)
+        frame = trim_headers(reader.csv(layout.files))
+        if wanted:
+            frame = frame.select(*[
+                (F.col(f"`{f.name}`") if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in wanted],
+                *([origin.alias(provenance)] if provenance else []))
+        elif provenance:
+            frame = frame.select("*", origin.alias(provenance))
+        frames.append(frame)
     return stack(frames)
 
 
-def read_history(
-    spark: SparkSession, pattern: str, drift: bool = False, encoding: str | None = None) -> DataFrame:
-    """Raw history files; every column is text, with ``source_file``."""
-    return read_csv(spark, pattern, drift=drift, provenance="source_file", encoding=encoding)
+def read_history(spark: SparkSession, pattern: str, encoding: str | None = None) -> DataFrame:
+    """Raw history files, matched by column name; every column is text, with ``source_file``."""
+    return read_csv(spark, pattern, provenance="source_file", encoding=encoding)
 
 
 def as_panel(df: DataFrame, spec: PanelSpec = HOURLY) -> DataFrame:
@@ -136,7 +162,7 @@ def append_history(rows: DataFrame, path: str) -> None:
 
 def read_metrics(spark: SparkSession, pattern: str) -> DataFrame:
     """Metrics files with trimmed headers, numbers coerced, and ``metrics_file``."""
-    frame = read_csv(spark, pattern, drift=True, provenance="metrics_file")
+    frame = read_csv(spark, pattern, provenance="metrics_file")
     require_columns(frame, ["model"])
     numbers = [c for c in frame.columns if c not in ("model", "metrics_file")]
     return frame.withColumns({"model": F.col("model").cast("string"), **{c: numeric(frame, c) for c in numbers}})

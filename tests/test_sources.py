@@ -22,7 +22,7 @@ def test_mixed_encodings_and_drifting_headers(spark, folder):
     write(f"{folder}/history_2.csv", "spot_num,ymd,hh,vol,이름\n007,20240101,8,5,성산로\n", "cp949")
     write(f"{folder}/history_3.csv", "spot_num,ymd,hh,vol,이름\nB,20240101,8,5,사직로\n", "utf-8")
     write(f"{folder}/other.csv", "a\n1\n")
-    got = tables.read_history(spark, f"{folder}/history*.csv", drift=True)
+    got = tables.read_history(spark, f"{folder}/history*.csv")
     rows = {r.spot_num: r for r in got.collect()}
     assert set(rows) == {"A-01", "007", "B"}
     assert rows["007"]["이름"] == "성산로" and rows["B"]["이름"] == "사직로" and rows["A-01"]["이름"] is None
@@ -33,6 +33,30 @@ def test_mixed_encodings_and_drifting_headers(spark, folder):
         tables.read_history(spark, f"{folder}/absent_x*.csv")
 
 
+def test_columns_are_matched_by_name(spark, folder):
+    write(f"{folder}/a 1.csv", "spot_num,ymd,hh,vol\nA,20240101,7,10\n")
+    write(f"{folder}/b[2].csv", "\nymd, spot_num ,hh,lane_num,vol\n20240102,B,8,3,5\n", "utf-8-sig")
+    write(f"{folder}/c.csv", "vol,\"hh\",ymd,이름,spot_num\n6,9,20240103,\"성산로, 남\",C\n", "cp949")
+    write(f"{folder}/d.csv", "spot_num,ymd,hh,vol\nD,20240104,7,1\n")
+    write(f"{folder}/empty.csv", "")
+    got = tables.read_history(spark, f"{folder}/*.csv")
+    rows = {r.spot_num: (r.ymd, r.hh, r.vol, r.lane_num, r["이름"], r.source_file) for r in got.collect()}
+    assert rows == {
+        "A": ("20240101", "7", "10", None, None, "a 1.csv"), "B": ("20240102", "8", "5", "3", None, "b[2].csv"),
+        "C": ("20240103", "9", "6", None, "성산로, 남", "c.csv"), "D": ("20240104", "7", "1", None, None, "d.csv")}
+    assert got.count() == 4 and [r.vol for r in got.select("vol").orderBy("vol").collect()] == ["1", "10", "5", "6"]
+    assert len(tables.csv_layouts(spark, f"{folder}/*.csv")) == 3  # scans: one per header, not per file
+    typed = tables.read_csv(spark, f"{folder}/*.csv", schema="vol double, lane_num int, absent string")
+    assert sorted((r.vol, r.lane_num, r.absent) for r in typed.collect() if r.lane_num) == [(5.0, 3, None)]
+    assert typed.agg(F.sum("vol")).first()[0] == 22.0
+
+
+def test_repeated_and_blank_headers_get_names(spark, folder):
+    write(f"{folder}/a.csv", ",v,v\n1,2,3\n")
+    got = tables.read_csv(spark, f"{folder}/*.csv")
+    assert len(set(got.columns)) == 3 and tuple(got.first()) == ("1", "2", "3")
+
+
 def test_undecodable_file_is_an_error(spark, folder):
     os.makedirs(folder, exist_ok=True)
     with open(f"{folder}/bad.csv", "wb") as f:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cadenza.operators import features, scale, split, windows
 from cadenza.plans import windowing
 from cadenza.sources.windows import load_windows, save_windows
-from cadenza.spec import HOURLY
+from cadenza.spec import GRID, HOURLY
 
 
 def values(n, seed=0):
@@ -175,3 +175,28 @@ def test_look_back_keeps_changes_across_a_cut(series):
     through, _, _ = windowing.split_features(df, spot_id=False, look_back=True)
     assert [r.temp_c_diff1 for r in restart.orderBy("datetime").collect()].count(0.0) == 3
     assert [r.temp_c_diff1 for r in through.orderBy("datetime").collect()].count(0.0) == 1
+
+
+@pytest.mark.parametrize("stride,horizon,segment", [(2, 1, 7), (3, 2, 4), (5, 1, 5), (9, 3, 4), (24, 1, 4096), (3, 1, 2)])
+def test_strided_windows_are_the_starts_of_all_windows(series, stride, horizon, segment):
+    df = series({"a": list(range(40)), "b": [5, 6, 7, 8, 9, 1, 2], "c": [1, 2]}, {"a": 3})
+    spec = HOURLY.but(segment=segment)
+    got = windows.sliding_windows(df, ["vol"], 4, horizon, stride, spec, carry=["vol"])
+    for dense in (spec, spec.but(dense=True)):
+        again = windows.sliding_windows(df, ["vol"], 4, horizon, stride, dense, carry=["vol"])
+        assert sorted(map(str, again.collect())) == sorted(map(str, got.collect()))
+    every = windows.sliding_windows(df, ["vol"], 4, horizon, 1, spec, carry=["vol"]).collect()
+    starts = {"a": at(3), "b": at(0), "c": at(0)}
+    want = [r for r in every if (r.origin_time - starts[r.spot_num]).total_seconds() / 3600 % stride == 3 % stride]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want)) and want
+
+
+def test_strided_windows_cost_what_they_hold(spark, series):
+    """A stride of s handles 1/s of the rows of windows, behind one exchange of the rows themselves."""
+    df = series({"a": list(range(480))})
+    made = windows.sliding_windows(df, ["vol"], 24, 1, 24, GRID)
+    assert made.count() == 19
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "_start" in line]
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "_steps" in line]
