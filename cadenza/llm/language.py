@@ -92,7 +92,7 @@ class Lattice:
     """All segmentations of some units: an arc per piece that fits, from its start to its end in its unit."""
 
     def __init__(self, units: list[str], pieces: Pieces):
-        text = GAP.join([MARK + u for u in units])  # no piece has a gap, so none reaches over one
+        text = "".join([MARK + u + GAP for u in units])  # no piece has a gap, so none reaches over one
         self.lengths = np.array([len(u) + 1 for u in units], np.int64)
         first = np.cumsum(self.lengths + 1) - self.lengths - 1
         unit = np.repeat(np.arange(len(units)), self.lengths)
