@@ -226,8 +226,8 @@ def train(
     for _ in range(rounds):
         uses = units.mapInArrow(_expectations(pieces, languages, logs), "piece bigint, language bigint, n double")
         counts = np.zeros(logs.shape)
-        for row in uses.groupBy("piece", "language").agg(F.sum("n").alias("n")).toLocalIterator():
-            counts[row.piece, row.language] = row.n
+        summed = uses.groupBy("piece", "language").agg(F.sum("n").alias("n")).toArrow()  # at most as many rows as a model has numbers
+        counts[summed["piece"].to_numpy(), summed["language"].to_numpy()] = summed["n"].to_numpy()
         logs = _probabilities(counts, shared, floor)
     return LanguageModel(pieces, languages, logs, prior)
 
