@@ -250,11 +250,11 @@ def judged(model: LanguageModel, text: Column) -> Column:
                     continue
                 if len(places) > room:
                     places, table = {}, table[:0]
-                fresh = list(dict.fromkeys(u for u in chain.from_iterable(documents) if u not in places))
+                fresh = list(set(chain.from_iterable(documents)).difference(places))
                 places.update(zip(fresh, range(len(table), len(table) + len(fresh))))
                 table = np.concatenate([table, *(
                     Lattice(fresh[i:i + LATTICE_UNITS], pieces).scores(logs) for i in range(0, len(fresh), LATTICE_UNITS))])
-                found += [_best(table[[places[u] for u in units]], prior, languages) for units in documents]
+                found += [_best(table[list(map(places.__getitem__, units))], prior, languages) for units in documents]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
     return judge(text)
