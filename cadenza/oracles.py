@@ -317,9 +317,9 @@ FROM folds f JOIN (
   FROM folds, targets GROUP BY fold) t ON f.fold = t.fold""",
     "backtest_origins": with_(*BASE, """
 bounds AS (
-  SELECT spot_num, greatest(max(datetime) - to_days(5), min(datetime) + to_hours(25)) AS a, max(datetime) - to_hours(1) AS b
+  SELECT spot_num, greatest(max(datetime) - to_days(30), min(datetime) + to_hours(25)) AS a, max(datetime) - to_hours(1) AS b
   FROM volumes GROUP BY spot_num HAVING count(*) >= 48)""")
-    + "SELECT spot_num, unnest(generate_series(a, b, INTERVAL 6 HOUR)) AS origin_time FROM bounds WHERE a <= b",
+    + "SELECT spot_num, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS origin_time FROM bounds WHERE a <= b",
     "windows_long": with_(*FRAMED, spread(SHORT, "frame"))
     + f"SELECT spot_num, origin_time, CAST(step AS INTEGER) AS step, {rounds(SHORT)} FROM cells",
     "window_targets": with_(*BASE, """
@@ -489,11 +489,11 @@ FROM errors GROUP BY model"""
 ORACLES["backtest_naive"] = with_(*BASE, """
 pos AS (SELECT *, row_number() OVER (PARTITION BY spot_num ORDER BY datetime) - 1 AS rn FROM volumes)""", """
 bounds AS (
-  SELECT spot_num, greatest(max(datetime) - to_days(5), min(datetime) + to_hours(25)) AS a, max(datetime) - to_hours(1) AS b
+  SELECT spot_num, greatest(max(datetime) - to_days(30), min(datetime) + to_hours(25)) AS a, max(datetime) - to_hours(1) AS b
   FROM volumes GROUP BY spot_num HAVING count(*) >= 48)""", """
 guesses AS (
   SELECT o.spot_num, t.vol AS y_true, g.vol AS y_pred, 'y_' || k AS model
-  FROM (SELECT spot_num, unnest(generate_series(a, b, INTERVAL 6 HOUR)) AS origin FROM bounds) o
+  FROM (SELECT spot_num, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS origin FROM bounds) o
   JOIN pos p ON p.spot_num = o.spot_num AND p.datetime = o.origin
   JOIN pos t ON t.spot_num = p.spot_num AND t.rn = p.rn + 1
   CROSS JOIN (SELECT unnest([1, 24]) AS k)

@@ -122,14 +122,15 @@ def backtest_predictions(
     """Forecasts of fixed models at each origin of each spot: ``spot, t, y_true`` and one column per model.
 
     ``panel`` is a feature frame. Only rows that some origin's window needs are
-    windowed.
+    windowed; of a dense panel, whose windows start where positions and times
+    agree, only windows that end at an origin are built.
     """
     step = spec.step_seconds
     bounds = origin_bounds(panel, window, horizon, eval_days, spec)
     needed = lookup_join(panel, bounds, spec.series, "inner").where(
         F.col(spec.time) > shift_time(F.col("first_origin"), seconds=-window * step))
     carry = ["first_origin", "last_origin", *(["spot_id"] if "spot_id" in panel.columns else [])]
-    windows = windows_with_time(needed, features, window, horizon, 1, spec, carry)
+    windows = windows_with_time(needed, features, window, horizon, stride if spec.dense else 1, spec, carry)
     gap = tick_of(F.col("origin_time"), step) - tick_of(F.col("first_origin"), step)
     origins = windows.where(
         (gap >= 0) & (F.pmod(gap, F.lit(stride)) == 0) & (F.col("origin_time") <= F.col("last_origin")))

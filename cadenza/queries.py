@@ -25,6 +25,7 @@ CORRELATED = [
 ]
 SHORT_FEATURES = ["vol", "hour_sin", "hour_cos", "temp_c"]
 INSIDE = GRID.but(group=("split",))
+DAILY_GRID = DAILY.but(dense=True)
 
 
 def rounded(df: DataFrame, places: int = 6, only: list[str] | None = None) -> DataFrame:
@@ -126,14 +127,14 @@ def wind_features(spark, d):
 def delta_features(spark, d):
     panel = _panel(spark, d)
     names = features.weather_features(panel)
-    made = features.add_differences(panel, names)
+    made = features.add_differences(panel, names, GRID)
     return rounded(made.select("spot_num", "datetime", *features.difference_columns(names)))
 
 
 def lag_features(spark, d):
     panel = _panel(spark, d)
     names = features.weather_features(panel)
-    return rounded(features.add_lags(panel, names).select("spot_num", "datetime", *[f"{c}_lag1" for c in names]))
+    return rounded(features.add_lags(panel, names, GRID).select("spot_num", "datetime", *[f"{c}_lag1" for c in names]))
 
 
 def spot_ids(spark, d):
@@ -160,7 +161,7 @@ def rolling_folds(spark, d):
 
 
 def backtest_origins(spark, d):
-    return split.backtest_origins(_volumes(spark, d), WINDOW, 1, eval_days=5, stride=6)
+    return split.backtest_origins(_volumes(spark, d), WINDOW)
 
 
 # -- windows and scalers ----------------------------------------------------
@@ -255,15 +256,15 @@ def _test(spark, d):
 
 
 def naive_last(spark, d):
-    return rounded(baselines.naive_forecast(_test(spark, d), 1))
+    return rounded(baselines.naive_forecast(_test(spark, d), 1, GRID))
 
 
 def naive_season(spark, d):
-    return rounded(baselines.naive_forecast(baselines.test_part(materialize(_daily(spark, d), "panel"), DAILY), 7, DAILY))
+    return rounded(baselines.naive_forecast(baselines.test_part(materialize(_daily(spark, d), "panel"), DAILY), 7, DAILY_GRID))
 
 
 def _candidates(spark, d):
-    return baselines.naive_forecasts(_test(spark, d), lags=LAGS)
+    return baselines.naive_forecasts(_test(spark, d), GRID, LAGS)
 
 
 def _model_metrics(spark, d):
@@ -271,7 +272,7 @@ def _model_metrics(spark, d):
 
 
 def metrics_overall(spark, d):
-    return rounded_errors(metrics.regression_metrics(baselines.naive_forecast(_test(spark, d), 1)))
+    return rounded_errors(metrics.regression_metrics(baselines.naive_forecast(_test(spark, d), 1, GRID)))
 
 
 def metrics_by_spot(spark, d):
@@ -358,12 +359,12 @@ def sorted_spots(spark, d):
 # -- forecasts and joins ----------------------------------------------------
 
 def label_at_horizon(spark, d):
-    return rounded(features.label_ahead(_volumes(spark, d), 3))
+    return rounded(features.label_ahead(_volumes(spark, d), 3, GRID))
 
 
 def forecast_join(spark, d):
     test = _test(spark, d)
-    pair = [baselines.naive_forecast(test, k).withColumnRenamed("y_pred", "pred_vol") for k in (1, 24)]
+    pair = [baselines.naive_forecast(test, k, GRID).withColumnRenamed("y_pred", "pred_vol") for k in (1, 24)]
     return rounded(joins.join_forecasts(*pair, ("last_value", "last_day"), ["spot_num", "datetime"]))
 
 
@@ -636,7 +637,7 @@ def rolling_naive(spark, d):
 def backtest_naive(spark, d):
     panel = materialize(_volumes(spark, d), "panel")
     models = {f"y_{k}": learners.Persistence(["vol"], k) for k in (1, 24)}
-    predictions = evaluation.backtest_predictions(panel, ["vol"], models, WINDOW, eval_days=5, stride=6)
+    predictions = evaluation.backtest_predictions(panel, ["vol"], models, WINDOW, spec=GRID)
     return rounded_errors(evaluation.backtest_summary(predictions, list(models)))
 
 

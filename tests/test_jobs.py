@@ -8,6 +8,7 @@ from cadenza.operators import features, scale, windows
 from cadenza.operators.metrics import regression_metrics
 from cadenza.plans import baselines, evaluation, forecast, learners, training
 from cadenza.session import materialize
+from cadenza.spec import GRID
 
 W = 6
 
@@ -134,5 +135,9 @@ def test_backtest(data):
     first = 24 * 12 - 1 - 24
     assert [(r.t, r.y_true, r.last, r.day) for r in got] == [
         (at(h), vol[h + 2], vol[h], vol[h - 2]) for h in range(first, 24 * 12 - 2, 4)]
+    dense = evaluation.backtest_predictions(
+        panel, ["vol"], {"last": learners.Persistence(["vol"], 1), "day": learners.Persistence(["vol"], 3)},
+        W, horizon=2, eval_days=1, stride=4, spec=GRID)
+    assert sorted(map(str, dense.collect())) == sorted(map(str, out.collect()))
     assert evaluation.backtest_summary(out, ["last", "day"], min_rows=6).count() == 4
     assert evaluation.backtest_summary(out, ["last", "day"]).count() == 0
