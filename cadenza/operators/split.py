@@ -109,11 +109,14 @@ def assign_folds(
         *targets.columns, F.col("_place.fold").alias("fold"), F.col("_place.role").alias("role"))
 
 
-def fold_sizes(assigned: DataFrame, min_train: int = 1000, min_test: int = 200) -> DataFrame:
-    """Rows per fold and role, and whether the fold is large enough to be used."""
-    sizes = assigned.groupBy("fold").agg(
-        F.count_if(F.col("role") == "train").alias("n_train"),
-        F.count_if(F.col("role") == "test").alias("n_test"))
+def fold_sizes(assigned: DataFrame, min_train: int = 1000, min_test: int = 200, weight: str | None = None) -> DataFrame:
+    """Rows per fold and role, and whether the fold is large enough to be used.
+
+    ``weight`` names a column of counts where rows stand for several, such as targets counted by time.
+    """
+    each = F.col(weight) if weight else F.lit(1)
+    rows = {role: F.sum(F.when(F.col("role") == role, each).otherwise(0)).alias(f"n_{role}") for role in ("train", "test")}
+    sizes = assigned.groupBy("fold").agg(rows["train"], rows["test"])
     return sizes.withColumn("used", (F.col("n_train") >= min_train) & (F.col("n_test") >= min_test))
 
 

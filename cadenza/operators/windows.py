@@ -92,6 +92,14 @@ def windows_with_time(
     return windows.withColumn("y", F.element_at("y", horizon))
 
 
+def target_counts(
+    df: DataFrame, window: int, horizon: int = 1, stride: int = 1, spec: PanelSpec = HOURLY,
+) -> DataFrame:
+    """How many windows have their last target at each time: what fold bounds and sizes need, at one row per step."""
+    windows = sliding_windows(df, [], window, horizon, stride, spec)
+    return windows.groupBy("target_time").agg(F.count(F.lit(1)).alias("n_windows"))
+
+
 def windows_long(windows: DataFrame, features: list[str], keys: list[str]) -> DataFrame:
     """One row per window step, with the features as columns and ``step`` from 0."""
     return windows.select(*keys, F.posexplode("x").alias("step", "_row")).select(

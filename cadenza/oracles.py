@@ -322,6 +322,22 @@ bounds AS (
     + "SELECT spot_num, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS origin_time FROM bounds WHERE a <= b",
     "windows_long": with_(*FRAMED, spread(SHORT, "frame"))
     + f"SELECT spot_num, origin_time, CAST(step AS INTEGER) AS step, {rounds(SHORT)} FROM cells",
+    "tree_probe": with_(*BASE, """
+    pairs AS (
+      SELECT CAST(isodow(datetime) >= 6 AS INTEGER) AS is_weekend,
+        lead(vol) OVER (PARTITION BY spot_num ORDER BY datetime) AS y FROM volumes)""") + f"""
+    SELECT is_weekend, count(*) AS n, {r('avg(y)')} AS lowest, {r('avg(y)')} AS highest
+    FROM pairs WHERE y IS NOT NULL GROUP BY is_weekend""",
+    "slope_probe": with_(*BASE, f"""
+    pairs AS (
+      SELECT spot_num, {logged('vol')} AS a, {logged('lead(vol) OVER (PARTITION BY spot_num ORDER BY datetime)')} AS b,
+        lead(vol) OVER (PARTITION BY spot_num ORDER BY datetime) AS y FROM volumes)""", """
+    centred AS (
+      SELECT a - avg(a) OVER (PARTITION BY spot_num) AS a, b - avg(b) OVER (PARTITION BY spot_num) AS c, b,
+        avg(b) OVER (PARTITION BY spot_num) AS level FROM pairs WHERE y IS NOT NULL)""", """
+    slope AS (SELECT sum(a * c) / sum(a * a) AS s FROM centred)""") + f"""
+    SELECT count(*) AS n, {r('sqrt(avg((b - greatest(level + s * a, 0)) * (b - greatest(level + s * a, 0))))', 5)} AS log_rmse
+    FROM (SELECT *, (SELECT s FROM slope) AS s FROM centred)""",
     "window_targets": with_(*BASE, """
 pos AS (SELECT *, row_number() OVER (PARTITION BY spot_num ORDER BY datetime) - 1 AS rn,
   count(*) OVER (PARTITION BY spot_num) AS n FROM volumes)""") + f"""

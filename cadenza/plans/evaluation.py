@@ -17,7 +17,7 @@ from cadenza.operators.scale import (
     fit_feature_scaler, fit_target_scaler, fold_log_features, with_window_counts)
 from cadenza.operators.sets import stack
 from cadenza.operators.split import assign_folds, fold_sizes, fold_table, origin_bounds
-from cadenza.operators.windows import windows_with_time
+from cadenza.operators.windows import target_counts, windows_with_time
 from cadenza.plans.learners import FOLD_TREES, fit_boosted, fit_linear
 from cadenza.session import materialize
 from cadenza.spec import HOURLY, PanelSpec
@@ -68,26 +68,36 @@ def rolling_evaluation(
 ) -> DataFrame:
     """Errors of each learner per fold: one row per fold and model, with the fold's dates.
 
-    Windows are written once; the driver loops over the few folds, and each fit
-    and each scoring runs on the cluster. Folds which are too small are skipped.
+    The feature table is written once and windows are made where a fit or a
+    scoring reads them; of a dense panel only the rows that a fold's windows
+    hold. The driver loops over the few folds, and each fit and each scoring
+    runs on the cluster. Folds which are too small are skipped.
     """
     chosen = learners or {"Boosted": boosted_learner(), "Linear": linear_learner}
     ids = series_ids(panel, spec)
     frame, names = feature_frame(panel, spec, ids=ids, change="lag", gaps="zero")
     frame = materialize(frame, "features")
-    windows = materialize(
-        windows_with_time(frame, names, window, horizon, stride, spec, ["spot_id"]), "windows")
-    if windows.isEmpty():
+    targets = materialize(target_counts(frame, window, horizon, stride, spec), "targets")
+    if targets.isEmpty():
         raise ValueError("no windows: check window, horizon, stride and the length of the series")
-    folds = fold_table(windows, "target_time", n_folds, test_days, min_train_days, expanding)
+    folds = fold_table(targets, "target_time", n_folds, test_days, min_train_days, expanding)
     sizes = fold_sizes(
-        assign_folds(windows.select("target_time"), "target_time", n_folds, test_days, min_train_days, expanding),
-        min_train, min_test)
+        assign_folds(targets, "target_time", n_folds, test_days, min_train_days, expanding), min_train, min_test,
+        "n_windows")
+    reach = spec.step_seconds * (window + horizon)
+
+    def windows_between(start: datetime, end: datetime) -> DataFrame:
+        """Windows with their target in [start, end)."""
+        rows, t, target = frame, F.col(spec.time), F.col("target_time")
+        if spec.dense and stride == 1:  # positions are times, and each row starts a window
+            rows = frame.where((t >= shift_time(moment(start), seconds=-reach)) & (t < moment(end)))
+        made = windows_with_time(rows, names, window, horizon, stride, spec, ["spot_id"])
+        return made.where((target >= moment(start)) & (target < moment(end)))
+
     reports = []
     for bounds in folds.join(sizes.where("used"), "fold").orderBy("fold").collect():
-        t = F.col("target_time")
-        train = windows.where((t >= moment(bounds.train_start)) & (t < moment(bounds.train_end)))
-        scored = windows.where((t >= moment(bounds.test_start)) & (t < moment(bounds.test_end)))
+        train = windows_between(bounds.train_start, bounds.train_end)
+        scored = windows_between(bounds.test_start, bounds.test_end)
         fold = Fold(train, frame, names, window, horizon, stride, bounds.train_start, bounds.train_end, spec)
         for name, learner in chosen.items():
             scored = learner(fold).predict(scored, f"_{name}")

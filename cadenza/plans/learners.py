@@ -1,4 +1,8 @@
-"""Learners on flattened windows, all fitted and applied by MLlib."""
+"""Learners on flattened windows, all fitted and applied by MLlib.
+
+Fits read windows as they are made from the rows of a feature table: no learner writes a table of windows, which would be
+as many times the panel as a window has steps. MLlib keeps its own compact copy of what it iterates over.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions.arrays import flat, pick_features
@@ -16,7 +20,7 @@ from cadenza.functions.scaling import clipped_log, inverse_target, standardize,
 from cadenza.operators.clean import require_same_features
 from cadenza.operators.rank import importance_by_feature, top_features
 from cadenza.operators.scale import IDENTITY_FEATURE, LOG_FEATURES
-from cadenza.session import materialize, shared_dir
+from cadenza.session import shared_dir
 
 # Settings of the boosted learner, and of its use in rolling folds.
 TREES = 800
@@ -67,6 +71,7 @@ def fit_boosted(
     keep: list[str] | None = None,
     trees: int = TREES,
     depth: int = DEPTH,
+    row_share: float = ROW_SHARE,
 ) -> BoostedTrees:
     """Fit on raw windows (``x``, scalar ``y``), optionally on a subset of the features."""
     shared_dir(windows.sparkSession)
@@ -74,7 +79,7 @@ def fit_boosted(
     vector = array_to_vector(flat(pick_features(F.col("x"), features, used)))
     learner = GBTRegressor(
         featuresCol="_vector", labelCol="y", predictionCol="_prediction", maxIter=trees, stepSize=LEARNING_RATE,
-        maxDepth=depth, subsamplingRate=ROW_SHARE, featureSubsetStrategy=COLUMN_SHARE, seed=SEED,
+        maxDepth=depth, subsamplingRate=row_share, featureSubsetStrategy=COLUMN_SHARE, seed=SEED,
         checkpointInterval=10)
     return BoostedTrees(learner.fit(windows.select(vector.alias("_vector"), "y")), used, features)
 
@@ -158,7 +163,6 @@ def fit_linear(
     train = windows.select(
         "spot_id", fitted._vector().alias("_vector"),
         transform_target(F.col("y"), F.lit(goal["mean"]), F.lit(goal["std"])).alias("_goal"))
-    train = materialize(train, "scaled")  # each stage below reads it
     stages = [
         OneHotEncoder(inputCol="spot_id", outputCol="_spot", handleInvalid="keep"),
         VectorAssembler(inputCols=["_vector", "_spot"], outputCol="_all"),
@@ -176,3 +180,29 @@ def one_target(windows: DataFrame, horizon: int = 1) -> DataFrame:
     """Windows with the target vector reduced to its last value."""
     return windows.withColumn("y", F.element_at("y", horizon))
 
+
+#: One row of state beside the files that MLlib writes: kind, names, scaler and target of a fitted learner.
+STORED_STATE = (
+    "kind string, features array<string>, have array<string>, scaler array<struct<feature:string,mean:double,std:double,"
+    "log1p:int>>, target struct<mean:double,std:double>, log_features array<string>, epsilon double")
+
+
+def save_model(fitted: BoostedTrees | ScaledLinear, spark: SparkSession, path: str) -> None:
+    """Write a fitted learner with its feature names and scaler states below ``path``, which must not exist yet."""
+    if isinstance(fitted, ScaledLinear):
+        scaler = [(c, *fitted.state[c]) for c in sorted(fitted.state)]
+        row = ("linear", fitted.features, fitted.have, scaler, fitted.target, fitted.log_features, fitted.epsilon)
+    else:
+        row = ("boosted", fitted.features, fitted.have, None, None, None, None)
+    fitted.model.save(f"{path}/model")
+    spark.createDataFrame([row], STORED_STATE).coalesce(1).write.mode("errorifexists").parquet(f"{path}/state")
+
+
+def load_model(spark: SparkSession, path: str) -> BoostedTrees | ScaledLinear:
+    """A learner as ``save_model`` wrote it, in any session that reaches the path."""
+    row = spark.read.schema(STORED_STATE).parquet(f"{path}/state").first()
+    if row.kind == "boosted":
+        return BoostedTrees(GBTRegressionModel.load(f"{path}/model"), row.features, row.have)
+    return ScaledLinear(
+        PipelineModel.load(f"{path}/model"), row.features, row.have, {e[0]: (e[1], e[2], e[3]) for e in row.scaler},
+        (row.target["mean"], row.target["std"]), row.log_features, row.epsilon)

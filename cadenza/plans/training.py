@@ -10,7 +10,6 @@ from cadenza.plans.baselines import NAIVE, compare_models, naive_forecasts
 from cadenza.plans.baselines import test_part as held_out
 from cadenza.plans.learners import DEPTH, TREES, choose_features, fit_boosted, fit_linear, one_target
 from cadenza.plans.windowing import make_windows
-from cadenza.session import materialize
 from cadenza.spec import HOURLY, PanelSpec
 
 
@@ -30,7 +29,7 @@ def train_and_compare(
     important ones of the boosted fit. ``panel`` should be a stored table.
     """
     ws = make_windows(panel, window, spec=spec)
-    raw = materialize(one_target(ws.raw), "windows", partition_by=["split"])
+    raw = one_target(ws.raw)  # over the stored feature table; windows themselves are not stored
     train, test = raw.where("split = 'train'"), raw.where("split = 'test'")
     boosted = fit_boosted(train, ws.features, trees=trees, depth=depth)
     keep = choose_features(boosted, train, top_k) if top_k > 0 else None

@@ -154,9 +154,9 @@ def chrono_split(spark, d):
 
 
 def rolling_folds(spark, d):
-    targets = windows.windows_with_time(_volumes(spark, d), ["vol"], WINDOW).select("spot_num", "target_time")
+    targets = materialize(windows.target_counts(_volumes(spark, d), WINDOW, spec=GRID), "targets")
     bounds = split.fold_table(targets, "target_time", **FOLDS)
-    sizes = split.fold_sizes(split.assign_folds(targets, "target_time", **FOLDS))
+    sizes = split.fold_sizes(split.assign_folds(targets, "target_time", **FOLDS), weight="n_windows")
     return bounds.join(sizes, "fold")
 
 
@@ -559,10 +559,9 @@ def lag_gappy(spark, d):
 
 def _learning_data(spark, d):
     panel = materialize(_panel(spark, d), "panel")
-    frame, names, inside = windowing.split_features(panel)
+    frame, names, inside = windowing.split_features(panel, GRID)
     frame = materialize(frame, "features")
-    made = materialize(windows.windows_with_time(frame, names, WINDOW, spec=inside, carry=["spot_id"]), "windows")
-    return frame, names, inside, made
+    return frame, names, inside, windows.windows_with_time(frame, names, WINDOW, spec=inside, carry=["spot_id"])
 
 
 def _scored_summary(predictions, name):
@@ -584,6 +583,39 @@ def second_learner(spark, d):
     return _scored_summary(fitted.predict(made.where("split = 'test'")), "y_pred")
 
 
+def _stored(spark, fitted):
+    """The learner as another session would read it."""
+    path = scratch_path(spark, "model")
+    learners.save_model(fitted, spark, path)
+    return learners.load_model(spark, path)
+
+
+def tree_probe(spark, d):
+    """One tree with one split on one yes-or-no feature, saved and loaded: its forecasts are the means of both groups."""
+    frame = materialize(features.time_features(_volumes(spark, d)), "features")
+    made = windows.windows_with_time(frame, ["is_weekend"], 1, spec=GRID)
+    model = _stored(spark, learners.fit_boosted(made, ["is_weekend"], trees=1, depth=1, row_share=1.0))
+    weekend = F.element_at("x", 1)[0].cast("int").alias("is_weekend")
+    return rounded(model.predict(made).groupBy(weekend).agg(
+        F.count(F.lit(1)).alias("n"), F.min("y_pred").alias("lowest"), F.max("y_pred").alias("highest")))
+
+
+def slope_probe(spark, d):
+    """The linear learner without penalty on one lag, saved and loaded: least squares with one slope and a level per spot.
+
+    The error on the scale of the fit is least there, so solvers agree on it to many digits.
+    """
+    volumes = _volumes(spark, d)
+    frame = materialize(features.add_series_id(volumes, features.series_ids(volumes, GRID), GRID), "features")
+    made = windows.windows_with_time(frame, ["vol"], 1, spec=GRID, carry=["spot_id"])
+    counted = scale.with_window_counts(frame, 1, spec=GRID)
+    fitted = learners.fit_linear(
+        made, ["vol"], scale.fit_feature_scaler(counted, ["vol"]), scale.fit_target_scaler(counted), regularization=0.0)
+    miss = scaling.clipped_log(F.col("y")) - scaling.clipped_log(F.col("y_pred"))
+    return rounded(_stored(spark, fitted).predict(made).agg(
+        F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(miss * miss)).alias("log_rmse")), 5)
+
+
 def importance_subset(spark, d):
     """Boosted fit, its most important features, and a second fit on these alone."""
     frame, names, inside, made = _learning_data(spark, d)
@@ -598,7 +630,7 @@ def importance_subset(spark, d):
 def train_compare(spark, d):
     """Baselines, boosted trees and the second learner on one test part, best first."""
     panel = materialize(_panel(spark, d), "panel")
-    return rounded(training.train_and_compare(panel, WINDOW, trees=3, depth=4, top_k=8, lags=LAGS, tag="_w24"), 4)
+    return rounded(training.train_and_compare(panel, WINDOW, trees=3, depth=4, top_k=8, lags=LAGS, tag="_w24", spec=GRID), 4)
 
 
 def _forecast(spark, d, k):
@@ -622,13 +654,13 @@ def busiest_spots(spark, d):
 def rolling_eval(spark, d):
     chosen = {"Boosted": evaluation.boosted_learner(3, 4), "Linear": evaluation.linear_learner}
     return rounded(evaluation.rolling_evaluation(
-        materialize(_panel(spark, d), "panel"), chosen, WINDOW, **FOLDS), 4)
+        materialize(_panel(spark, d), "panel"), chosen, WINDOW, **FOLDS, spec=GRID), 4)
 
 
 def rolling_naive(spark, d):
     """Rolling-origin errors of the two baselines, averaged over folds."""
     chosen = {f"Persist_{k}": lambda fold, k=k: learners.Persistence(fold.features, k) for k in (1, 24)}
-    report = evaluation.rolling_evaluation(materialize(_volumes(spark, d), "panel"), chosen, WINDOW, **FOLDS)
+    report = evaluation.rolling_evaluation(materialize(_volumes(spark, d), "panel"), chosen, WINDOW, **FOLDS, spec=GRID)
     means = evaluation.rolling_summary(report).withColumns({
         "fold": F.lit(0), **{c: F.lit("all") for c in ("train_start", "train_end", "test_start")}, "test_days": F.lit(15)})
     return rounded_errors(sets.stack([report, means]))
@@ -680,6 +712,7 @@ QUERIES = {f.__name__: f for f in (
     histogram_50, corr_matrix, mode_spot, top50, head50, sorted_spots, label_at_horizon, forecast_join,
     spots_with_forecast, idle_spots, union_readings, tm_to_lonlat, date_functions, value_functions, json_records,
     csv_encodings, csv_drift, panel_store, metrics_files, xml_rows, pending_work, ingest_resume, ingest_progress, lag_gappy, gbt_score, second_learner,
+    tree_probe, slope_probe,
     importance_subset, train_compare, recursive_forecast, busiest_spots, rolling_eval, backtest,
     rolling_naive, backtest_naive, forecast_naive, busiest_naive,
 )}
