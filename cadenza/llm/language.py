@@ -27,6 +27,7 @@ the results, which are replaced. Empty tables give empty results.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -63,6 +64,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
+@dataclass(frozen=True)
+class Trie:
+    """Steps from node to node, as sorted keys of (node, symbol); symbol 0 is any character that no piece has."""
+
+    symbols: np.ndarray
+    width: int
+    keys: np.ndarray
+    children: np.ndarray
+    whole: np.ndarray
+
+    def step(self, nodes: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next nodes, and whether there is one."""
+        wanted = nodes * self.width + symbols
+        place = np.searchsorted(self.keys, wanted)
+        return self.children[place], self.keys[place] == wanted
+
+
 @dataclass(frozen=True)
 class Pieces:
     """A vocabulary: piece to number, and the numbers of the 256 byte pieces (or of the unknown piece)."""
@@ -83,9 +101,19 @@ class Pieces:
         return cls({model.id_to_piece(i): i for i in plain}, tuple(byte), size)
 
     @cached_property
-    def beginnings(self) -> dict[str, int]:
-        """Every beginning of a piece, with the piece's number where it is a whole one."""
-        return {**dict.fromkeys((p[:n] for p in self.numbers for n in range(1, len(p))), OPEN), **self.numbers}
+    def trie(self) -> Trie:
+        """Every beginning of a piece as a node, with the piece's number where it is a whole one."""
+        nodes = {"": 0}
+        plain = [p for p in self.numbers if GAP not in p]
+        for begin in sorted({p[:n] for p in plain for n in range(1, len(p) + 1)}):  # parents come first
+            nodes[begin] = len(nodes)
+        letters = sorted(set().union(*plain))
+        symbols = np.zeros(sys.maxunicode + 1, np.int64)
+        symbols[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        steps = [(nodes[b[:-1]] * (len(letters) + 1) + symbols[ord(b[-1])], node) for b, node in nodes.items() if b]
+        keys, children = np.array([*sorted(steps), (np.iinfo(np.int64).max, 0)], np.int64).T  # the end is never found
+        whole = np.array([self.numbers.get(b, OPEN) for b in nodes], np.int64)
+        return Trie(symbols, len(letters) + 1, keys.copy(), children.copy(), whole)
 
 
 class Lattice:
@@ -97,11 +125,13 @@ class Lattice:
         first = np.cumsum(self.lengths + 1) - self.lengths - 1
         unit = np.repeat(np.arange(len(units)), self.lengths)
         at = np.arange(len(unit)) + unit
-        arcs, get, n = [], pieces.beginnings.get, 0
+        trie = pieces.trie
+        symbols = trie.symbols[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        arcs, node, n = [], np.zeros(len(at), np.int64), 0
         while len(at):
+            node, on = trie.step(node, symbols[at + n])  # the gap ends every walk
             n += 1
-            found = np.array([get(text[i:i + n], NONE) for i in at.tolist()], np.int64)
-            on = found != NONE
+            found = np.where(on, trie.whole[node], NONE)
             if n == 1:
                 odd = np.flatnonzero(found < 0)
                 chains = [text[i].encode("utf-8", "surrogatepass") for i in at[odd].tolist()]
@@ -111,7 +141,7 @@ class Lattice:
             whole = found >= 0
             start = at[whole] - first[unit[whole]]
             arcs.append((unit[whole], start, start + n, found[whole]))
-            unit, at = unit[on], at[on]
+            unit, at, node = unit[on], at[on], node[on]
         self.unit, self.start, self.end, self.piece = (np.concatenate(c) for c in zip(*arcs, strict=True))
 
     def weights(self, logs: np.ndarray) -> np.ndarray:
@@ -254,7 +284,7 @@ def judged(model: LanguageModel, text: Column) -> Column:
                 places.update(zip(fresh, range(len(table), len(table) + len(fresh))))
                 table = np.concatenate([table, *(
                     Lattice(fresh[i:i + LATTICE_UNITS], pieces).scores(logs) for i in range(0, len(fresh), LATTICE_UNITS))])
-                found += [_best(table[list(map(places.__getitem__, units))], prior, languages) for units in documents]
+                found += [_best(table[np.fromiter(map(places.__getitem__, units), np.int64, len(units))], prior, languages) for units in documents]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
     return judge(text)
