@@ -1,5 +1,6 @@
 """Quality rules, toxicity, perplexity and licences."""
 
+import math
 import random
 import re
 import zlib
@@ -183,10 +184,13 @@ def test_licences(spark):
     ("plain words " * 30 + "Released under the MIT License. " + "more words " * 30, "MIT"),
     (" * Use of this source\n * code is governed by\n * a BSD-style\n * license.", "BSD-3-Clause"),
     ("Permission is hereby granted,\nfree of charge, to any person obtaining a copy of\nthis software and associated documentation files", "MIT"),
-    ("The council gave its permission to build", None), ("", None),
+    ("The council gave its permission to build", None), ("", None), (None, None), ("all", None), ("komm mit mit mit mit", None), ("the " * 30 + "it " * 30, None), ("of all rights that they have", None),
+    ("in source and binary forms, with or without modification, are permitted", "BSD-3-Clause"),
+    ("Creative Commons Attribution 4.0 International", "CC-BY-4.0"), ("CC BY 4.0", "CC-BY-4.0"), ("see CC BY-NC 4.0 here", "CC-BY-NC-4.0"),
+    ("Mozilla Public License Version 2.0", "MPL-2.0"), ("under the GNU General Public License version 2 or later", "GPL-2.0"),
 ])
 def test_licences_anywhere(text, want):
-    found = licenses.Matcher(licenses.TEMPLATES).best(text, licenses.THRESHOLD)
+    found = licenses.Matcher(licenses.TEMPLATES).best(text)
     assert (found and found[1]) == want
 
 
@@ -198,3 +202,34 @@ def test_licence_scores_do_not_depend_on_the_corpus(spark):
         files = spark.createDataFrame(rows[:n], "fid bigint, path string, text string")
         scores += [(r.license, r.score) for r in licenses.scan(files, licenses.template_table(spark)).where("fid = 0").collect()]
     assert scores[0] == scores[1] and scores[0][0] == "Apache-2.0" and scores[0][1] > 0.99
+
+
+def test_bounds_skip_no_window():
+    """Every window of every template, by the formula, against the search by bounds."""
+    rng, matcher = random.Random(5), licenses.Matcher(licenses.TEMPLATES)
+    vocabulary = sorted({w for _, t in licenses.TEMPLATES for w in licenses.TOKEN.findall(t.lower())}) + ["alpha", "beta", "gamma"]
+    tf = lambda words: {w: 1 + math.log(n) for w, n in Counter(words).items()}
+    for _ in range(300):
+        _, told = rng.choice(licenses.TEMPLATES)
+        words = [w if rng.random() < 0.7 else rng.choice(vocabulary) for w in licenses.TOKEN.findall(told.lower())]
+        words = rng.choices(vocabulary, k=rng.randrange(6)) + words + rng.choices(vocabulary, k=rng.randrange(6))
+        found = []
+        for name, width, unit, needed in matcher.templates:
+            for i in range(max(len(words) - width, 0) + 1):
+                window = {w: n * matcher.idf.get(w, matcher.unknown) for w, n in tf(words[i:i + width]).items()}
+                norm = math.sqrt(sum(v * v for v in window.values()))
+                cosine = sum(v * unit.get(w, 0.0) for w, v in window.items()) / norm
+                cover = sum(unit.get(w, 0.0) ** 2 for w in window)
+                found += [(cosine, name)] if cosine >= needed and cover >= licenses.COVER else []
+        got = matcher.best(" ".join(words))
+        assert (got is None) == (not found)
+        if got:
+            top = max(c for c, _ in found)
+            assert -got[0] == pytest.approx(top) and got[1] in {n for c, n in found if c > top - 1e-9}
+
+
+def test_licences_of_null_and_repeated_ids(spark):
+    rows = [(1, "a/x", "Released under the MIT License."), (1, "b/y", "plain"), (None, "c/LICENSE", "Released under the MIT License."), (None, "c/z", "plain")]
+    files = spark.createDataFrame(rows, "fid bigint, path string, text string")
+    got = {r.path: (r.license, r.origin) for r in licenses.scan(files, licenses.template_table(spark)).collect()}
+    assert got == {"a/x": ("MIT", "own"), "b/y": (None, "none"), "c/LICENSE": ("MIT", "own"), "c/z": ("MIT", "inherited")}
