@@ -4,22 +4,23 @@
   Documents with equal sets are one class from the start; only classes are compared.
 * **Forest.** A signature of ``HASHES`` minima is read in several orders. Classes whose signatures begin alike in an
   order share a region of that order and are each other's longest-common-prefix neighbours. Regions of at most
-  ``REGION`` classes are compared throughout. A larger region is compared with its smallest class only, and its classes
-  go on to the next level: a longer prefix, in as many more orders as would keep the chance of missing a pair at the
-  threshold below 1e-5 if the places of an order were drawn anew each time. They come from the same ``HASHES`` minima, so
+  ``REGION`` classes are compared throughout. A larger region is compared with its smallest class only. Regions of several
+  groups that share a class are a crowd. Crowds of at most ``CROWD`` classes are compared in all of their pairs; the classes
+  of larger ones go on to the next level: a longer prefix, in as many more orders as would keep the chance of missing a pair
+  at the threshold below 1e-5 if the places of an order were drawn anew each time. They come from the same ``HASHES`` minima, so
   the true chance is higher: 2.5e-4 at depth 4, 9e-4 at 6, 2.8e-3 at 8, 1.4e-2 at 12 and 4.4e-2 at 16 for a pair of 85 %,
   2.7e-2 at 12 for one of 80 %. So depth follows density: sparse text stays at depth 4, crowds of like texts go deeper.
 * **Confirmation.** Candidates whose signatures agree in too few places for the threshold (five standard deviations
   below it) are dropped; the others are compared on their full sets.
-* **Crowds.** Classes that are still in crowded regions of several groups after the last level are compared in all of their
-  pairs, on full sets: regions that share a class are a crowd, a crowd is dealt to blocks, and each pair of blocks is a cell
-  of its own. A cell counts shared shingles as matrix products and gives each linked member its smallest connected one.
+* **Crowds.** All pairs of a crowd are compared on full sets, after the last level also those of larger crowds: a crowd is
+  dealt to blocks, and each pair of blocks is a cell of its own. A cell counts shared shingles as matrix products and gives each linked member its smallest connected one.
 * **Groups.** Connected components of the links. Classes of a crowded region that are in one group by then cannot add
   anything and do not go deeper, so a group of a million near copies costs a star, not its square.
 
 No group meets in one task: region sizes are counted with partial aggregation, hot regions only carry stars, and joins
-are by keys with one row on one side, which adaptive execution may split. The work on a crowd grows with its square, less
-the pairs of blocks that lie in one group; no pair that does not link is a row.
+are by keys with one row on one side, which adaptive execution may split. The work on a class of a crowd is at most ``CROWD``
+comparisons, or those with all that is still in its crowd after the last level, less the pairs of blocks that lie in one
+group; no pair that does not link is a row.
 
 Defined cases: null, empty and blank texts have no shingle (``n_shingles`` 0) and are linked with nothing. A text of
 fewer than five words is one shingle. Rows with a null id are linked with nothing and kept. Rows that repeat an id are
@@ -52,8 +53,12 @@ MISS = 1e-5
 PERCENT = 85
 #: A level that needs more orders than this is left out; the crowds of the level before are compared in all pairs instead.
 ORDERS = 200
+#: Crowds of at most so many classes are compared in all pairs at any level.
+CROWD = 4096
 #: Classes in a block of a crowd.
 BLOCK = 512
+#: Shingles of a cell that are numbered at a time.
+NUMBERED = 4_000_000
 #: Shingles in a slice of a cell's matrices.
 SLICE = 4096
 CACHED = 400_000
@@ -206,18 +211,15 @@ def links(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFra
     return joined.mapInPandas(_confirm(percent), "a bigint, b bigint")
 
 
-def _linked(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> np.ndarray:
-    """Which sets of side 0 link with which of side 1, as a symmetric matrix; among themselves if all have side 0."""
-    sizes = np.array([len(x) for x in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
+def _shared(sets: list[np.ndarray], sides: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """How many elements each of the sets ``one`` shares with each of the sets ``two``."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    one, two = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
-    crossed = len(two) > 0
-    if crossed:
-        useful = (np.bincount(codes[sides[owner] == 0], minlength=codes.max() + 1) > 0) & (
-            np.bincount(codes[sides[owner] == 1], minlength=codes.max() + 1) > 0)
+    if (sides == 1).any():
+        useful = (np.bincount(codes[sides[owner] == 0], minlength=codes.max(initial=0) + 1) > 0) & (
+            np.bincount(codes[sides[owner] == 1], minlength=codes.max(initial=0) + 1) > 0)
     else:
-        two, useful = one, np.bincount(codes) > 1
+        useful = np.bincount(codes) > 1
     column = np.cumsum(useful) - 1
     some = useful[codes]
     owner, codes = owner[some], column[codes[some]]
@@ -229,7 +231,21 @@ def _linked(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> np.ndarr
         has = np.zeros((len(sets), SLICE), np.float32)
         has[owner[lo:hi], codes[lo:hi] - start] = 1
         shared += has[one] @ has[two].T
-    shared = shared.astype(np.int64)
+    return shared.astype(np.int64)
+
+
+def _linked(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets of side 0 link with which of side 1, as a symmetric matrix; among themselves if all have side 0."""
+    sizes = np.array([len(x) for x in sets])
+    one, two = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+    crossed = len(two) > 0
+    if not crossed:
+        two = one
+    parts = -(-int(sizes.sum()) // NUMBERED)
+    shared = np.zeros((len(one), len(two)), np.int64)
+    bounds = [(1 << 64) // parts * i for i in range(1, parts)]
+    for own in zip(*(np.split(x, np.searchsorted(x, np.array(bounds, np.uint64))) for x in sets), strict=True):
+        shared += _shared(own, sides, one, two)
     links = 100 * shared >= percent * (sizes[one][:, None] + sizes[two][None, :] - shared)
     linked = np.zeros((len(sets), len(sets)), bool)
     linked[np.ix_(one, two)] = links
@@ -278,14 +294,23 @@ def _crowd_cells(percent: int):
     return cells
 
 
+def crowds_of(members: DataFrame) -> DataFrame:
+    """Crowd of each class of ``members(node, region, group)``: node, group, crowd."""
+    leaders = members.groupBy("region").agg(F.min("node").alias("a"))
+    crowds = components(members.join(leaders, "region").select("a", F.col("node").alias("b")), "crowds")
+    return members.select("node", "group").distinct().join(crowds, "node").withColumnRenamed("component", "crowd")
+
+
 def crowd_links(members: DataFrame, texts: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """Links that connect what is linked among the ``members(node, region, group)`` of each region, from all pairs.
+    """Links that connect what is linked among the ``members(node, region, group)`` of each region, from all pairs."""
+    return links_within(crowds_of(members), texts, percent, block)
+
+
+def links_within(own: DataFrame, texts: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """Links that connect what is linked among the classes of each crowd, ``own(node, group, crowd)``, from all pairs.
 
     Pairs within a group of more than ``block`` classes are not compared: they add nothing.
     """
-    leaders = members.groupBy("region").agg(F.min("node").alias("a"))
-    crowds = components(members.join(leaders, "region").select("a", F.col("node").alias("b")), "crowds")
-    own = members.select("node", "group").distinct().join(crowds, "node").withColumnRenamed("component", "crowd")
     large = own.groupBy("crowd", "group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select("crowd", "group", F.lit(True).alias("alone"))
     part = own.join(large, ["crowd", "group"], "left").select(
         "node", "crowd", F.coalesce("alone", F.lit(False)).alias("alone"), F.when(F.col("alone"), F.col("group")).otherwise(0).alias("part"))
@@ -315,8 +340,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
     own = sets.withColumnRenamed("doc_id", "node").join(heads, [*keys, "node"], "left_semi")
     first = own.groupBy("node").agg(F.min(F.struct("k1", "k2", "signature")).alias("s"))
     classes = stored(first.select("node", "s.signature"), "classes")
-    found, groups, texts, left = None, None, None, classes
-    for depth in (d for d in DEPTHS if len(orders(d, percent)) <= ORDERS):
+    found, groups, texts, left, stale = None, None, None, classes, False
+    depths = [d for d in DEPTHS if len(orders(d, percent)) <= ORDERS]
+    for depth in depths:
         pairs, crowded = candidates(left, depth, percent)
         likely = stored(_likely(pairs, classes, percent), "likely")
         if texts is None:  # deeper levels only know classes that are crowded here
@@ -324,19 +350,27 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
             texts = texts_of(ends.unionByName(crowded.select("node")).distinct(), docs, text)
         fresh = stored(links(likely, texts, percent), "links")
         found = fresh if found is None else found.unionByName(fresh)
-        if groups is None or not fresh.isEmpty():
+        if groups is None or stale or not fresh.isEmpty():
             groups = stored(components(found), "groups")
+        stale = False
         group = F.coalesce("component", "node").alias("group")
         placed = crowded.join(groups, "node", "left").select("node", "region", group)
         open_ = placed.groupBy("region").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
-        members = placed.join(open_, "region", "left_semi")
-        left = stored(classes.join(members.select("node").distinct(), "node", "left_semi"), "deeper")
+        own = stored(crowds_of(placed.join(open_, "region", "left_semi")), "crowd-members")
+        if own.isEmpty():
+            break
+        limit = F.lit(True) if depth == depths[-1] else F.col("size") <= CROWD
+        sizes = own.groupBy("crowd").agg(F.count(F.lit(1)).alias("size")).select("crowd", limit.alias("whole"))
+        own = own.join(sizes, "crowd")
+        rest = stored(links_within(own.where("whole").drop("whole"), texts, percent), "links")
+        stale = not rest.isEmpty()
+        if stale:
+            found = found.unionByName(rest)
+        left = stored(classes.join(own.where("NOT whole").select("node"), "node", "left_semi"), "deeper")
         if left.isEmpty():
             break
-    else:
-        rest = stored(crowd_links(members, texts, percent), "links")
-        if not rest.isEmpty():
-            groups = stored(components(found.unionByName(rest)), "groups")
+    if stale:
+        groups = stored(components(found), "groups")
     mapped = heads.join(groups, "node", "left").select(*keys, F.coalesce("component", "node").alias("_group"))
     component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("_group")), F.col("doc_id"))
     return known.join(mapped, keys, "left").select(

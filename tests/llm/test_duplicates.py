@@ -97,6 +97,19 @@ def test_pairs_in_a_crowd_below_the_threshold(spark):
     assert got == groups(range(800), pairs)
 
 
+@pytest.mark.parametrize(("limit", "levels"), [(4096, 1), (50, len(minhash.DEPTHS))])
+def test_crowds_go_deeper_only_above_the_limit(spark, monkeypatch, limit, levels):
+    """A crowd within the limit is compared in all pairs at the first level; a larger one at the last, with the same groups."""
+    rows, pairs = crowd(300, 30)
+    depths, level = [], minhash.candidates
+    monkeypatch.setattr(minhash, "CROWD", limit)
+    monkeypatch.setattr(minhash, "NUMBERED", 5000)
+    monkeypatch.setattr(minhash, "candidates", lambda classes, depth, percent: depths.append(depth) or level(classes, depth, percent))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()} == groups(range(300), pairs)
+    assert depths == list(minhash.DEPTHS[:levels])
+
+
 def test_cells_of_a_crowd(spark):
     """Small blocks: the same links, whether or not groups have blocks of their own."""
     rows, pairs = crowd(300, 20)
