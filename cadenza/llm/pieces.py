@@ -5,7 +5,8 @@ the text), one arc per piece from its characters to its id, one chain of byte ar
 and, behind them, an acceptor over neighbouring pieces. In the tropical semiring a path's weight is the sum of its arcs'
 weights; a pair of neighbours weighs nothing if the model would leave it as it is, and infinitely much if it would merge
 across it. Under a merge model exactly one path of any prefix is finite, so the composition with a text is walked from
-left to right with one live state per place: the piece in which the shortest path of that prefix ends.
+left to right with one live state per place: the piece in which the shortest path of that prefix ends. Which pieces end at
+a place is one state of an automaton over all pieces (trie with failure links), so a place costs a step and a few pairs.
 
 Pair weights come from the model's own merge rule on the two pieces' characters, and are kept once known. No piece holds
 a word mark behind another character (checked when compiling), so nothing can merge across the start of a word: the
@@ -22,7 +23,9 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +37,26 @@ from pyspark.sql import functions as F
 MARK = "▁"
 KEPT_PAIRS = 1_200_000
 KEPT_WORDS = 800_000
+#: Steps over failure links that are kept, beside those of the trie.
+KEPT_STEPS = 400_000
+#: States that are no piece: the start of a word, a character outside the pieces, and a place that no path reaches.
+START, OUTSIDE, DEAD = -1, -2, -3
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
+class _Words(dict):
+    """Ids of words, computed once each."""
+
+    def __init__(self, path):
+        self.path = path
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        ids = self[word] = self.path(word)
+        return ids
+
+
 class PieceTransducer:
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -50,9 +70,49 @@ class PieceTransducer:
         self.unknown = model.unk_id()
         if any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError("a piece reaches over the start of a word")
-        self.longest = max(map(len, self.id))
-        self.pairs: dict[str, bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.raw = [bytes([self.byte_of[i]]) if i in self.byte_of else p.encode() for i, p in enumerate(self.piece)]
+        self.is_byte = np.array([i in self.byte_of for i in range(size)])
+        self.pairs: dict[int, bool] = {}
+        self.words = _Words(self.path)
+        self._compile()
+
+    def _compile(self) -> None:
+        """Trie of the pieces, with the longest other state that each state ends in, and the pieces that end there, longest first."""
+        self.steps: list[dict[str, int]] = [{}]
+        own: dict[int, int] = {}
+        for piece, number in self.id.items():
+            state = 0
+            for letter in piece:
+                after = self.steps[state].get(letter)
+                if after is None:
+                    after = self.steps[state][letter] = len(self.steps)
+                    self.steps.append({})
+                state = after
+            own[state] = number
+        self.fail = [0] * len(self.steps)
+        self.ends: list[tuple[tuple[int, int], ...]] = [()] * len(self.steps)
+        self.kept = 0
+        queue = deque([(0, 0)])
+        while queue:
+            state, depth = queue.popleft()
+            self.ends[state] = (((depth, own[state]),) if state in own else ()) + self.ends[self.fail[state]]
+            for letter, after in self.steps[state].items():
+                back = self.fail[state]
+                while back and letter not in self.steps[back]:
+                    back = self.fail[back]
+                self.fail[after] = self.steps[back].get(letter, 0) if state else 0
+                queue.append((after, depth + 1))
+
+    def _step(self, state: int, letter: str) -> int:
+        """The state behind one that has no own step for the letter."""
+        back = state
+        while back and letter not in self.steps[back]:
+            back = self.fail[back]
+        after = self.steps[back].get(letter, 0)
+        if self.kept < KEPT_STEPS:
+            self.kept += 1
+            self.steps[state][letter] = after
+        return after
 
     def merged(self, text: str) -> list[str]:
         """The model's merge rule on the characters of a short string: the best-ranked neighbours first, then leftmost."""
@@ -67,72 +127,53 @@ class PieceTransducer:
                 return parts
             parts[place:place + 2] = [parts[place] + parts[place + 1]]
 
-    def free(self, left: str, right: str) -> bool:
-        """Whether the pair acceptor lets two neighbouring pieces pass at no weight."""
-        pair = f"{left}\0{right}"
-        known = self.pairs.get(pair)
-        if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[pair] = self.merged(left + right) == ([left, right] if left else [right])
+    def free(self, left: int, right: int) -> bool:
+        """Whether the pair acceptor lets two neighbouring states pass at no weight. Nothing merges with what is no piece."""
+        if len(self.pairs) >= KEPT_PAIRS:
+            self.pairs.clear()
+        parts = [self.piece[i] for i in (left, right) if i >= 0]
+        known = self.pairs[left << 24 | right] = self.merged("".join(parts)) == parts
         return known
 
     def path(self, word: str) -> tuple[int, ...]:
         """Ids along the shortest path of a word."""
-        last: list[str | None] = [""]
-        rank, longest, pairs = self.rank, self.longest, self.pairs
-        for end in range(1, len(word) + 1):
-            live = None
-            for start in range(max(0, end - longest), end):
-                piece = word[start:end]
-                known = piece in rank
-                if not known and end - start > 1:
+        live, state = [START], 0
+        steps, ends, pairs = self.steps, self.ends, self.pairs.get
+        for end, letter in enumerate(word, 1):
+            after = steps[state].get(letter)
+            state = self._step(state, letter) if after is None else after
+            for size, piece in ends[state]:
+                before = live[end - size]
+                if before == DEAD:
                     continue
-                before = last[start]
-                if before is None:
-                    continue
-                if not known or (before and before not in rank):
-                    # nothing merges with a character outside the pieces
-                    if known and not self.free("", piece):
-                        continue
-                    live = piece
-                    break
-                passes = pairs.get(f"{before}\0{piece}")
-                if passes is None:
-                    passes = self.free(before, piece)
-                if passes:
-                    live = piece
+                passes = pairs(before << 24 | piece)
+                if passes or passes is None and self.free(before, piece):
+                    live.append(piece)
                     break
-            last.append(live)
+            else:
+                live.append(OUTSIDE if live[-1] != DEAD and letter not in self.id else DEAD)
         ids: list[int] = []
         end = len(word)
         while end:
-            piece = last[end]
-            if piece in self.id:
-                ids.append(self.id[piece])
-            elif self.byte:
-                ids += [self.byte[b] for b in reversed(piece.encode("utf-8", "replace"))]
+            piece = live[end]
+            if piece >= 0:
+                ids.append(piece)
+                end -= len(self.piece[piece])
+                continue
+            end -= 1
+            if self.byte:
+                ids += [self.byte[b] for b in reversed(word[end].encode("utf-8", "replace"))]
             else:
                 ids.append(self.unknown)
-            end -= len(piece)
         return tuple(reversed(ids))
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        ids: list[int] = []
-        for word in WORD.findall(MARK + text.replace(" ", MARK)):
-            known = self.words.get(word)
-            if known is None:
-                if len(self.words) >= KEPT_WORDS:
-                    self.words.clear()
-                known = self.words[word] = self.path(word)
-            ids += known
-        return ids
+        return list(chain.from_iterable(map(self.words.__getitem__, WORD.findall(MARK + text.replace(" ", MARK)))))
 
     def decode(self, ids: list[int]) -> str:
-        parts = [bytes([self.byte_of[i]]) if i in self.byte_of else self.piece[i].encode() for i in ids]
-        text = b"".join(parts).decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
         return text.removeprefix(" ")
 
 
@@ -187,7 +228,7 @@ def summarized(docs: DataFrame, text: str = "text", model: str | None = None) ->
             for doc, value in zip(batch.column(0), batch.column(1), strict=True):
                 ids = machine.encode(value.as_py())
                 coded = np.array(ids, "<u4")
-                fallback = int(np.isin(coded, list(machine.byte_of)).sum())
+                fallback = int(machine.is_byte[coded].sum())
                 digest = hashlib.sha256(machine.decode(ids).encode("utf-8", "replace")).hexdigest()
                 out.append((doc.as_py(), len(ids), fallback, zlib.crc32(coded.tobytes()), digest))
             if out:

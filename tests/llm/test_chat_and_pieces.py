@@ -62,6 +62,21 @@ def test_paths_are_those_of_the_model(text):
     assert machine.decode(ids) == MODEL.decode(ids)
 
 
+def test_states_hold_the_pieces_that_end_there(monkeypatch):
+    """Every state of the automaton against all pieces, and paths with hardly any kept step or pair."""
+    machine = pieces.PieceTransducer(pieces.default_model())
+    text = "the thing, an inhabitation\nof \u65e5\u2603 beaten the abehinost"
+    state = 0
+    for i, letter in enumerate(text):
+        state = machine.steps[state].get(letter) if letter in machine.steps[state] else machine._step(state, letter)
+        read = text[:i + 1]
+        assert machine.ends[state] == tuple((n, machine.id[read[-n:]]) for n in range(len(read), 0, -1) if read[-n:] in machine.id)
+    monkeypatch.setattr(pieces, "KEPT_STEPS", 0)
+    monkeypatch.setattr(pieces, "KEPT_PAIRS", 2)
+    monkeypatch.setattr(pieces, "KEPT_WORDS", 1)
+    assert pieces.PieceTransducer(pieces.default_model()).encode(text) == MODEL.encode(text)
+
+
 def test_encoding_of_tables(spark):
     rows = [(1, "The thing\n is  here"), (2, None), (3, ""), (None, "x"), (4, "long " * 30_000), (4, "long " * 30_000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "0 AS ids")
