@@ -12,7 +12,7 @@
 * **Verdict.** A language's threshold lies ``SLACK`` bits per byte above the ``quantile`` of its trusted documents, taken
   from exact counts per thousandth of a bit. Documents above it go.
 
-Texts travel once, compressed; a task holds one chunk of ``CHUNK_BYTES`` of text and one block's n-grams at a time. A hot language is no key of anything but sums.
+Texts are stored once, compressed, in buckets by block, and never shuffled; a task holds one chunk of ``CHUNK_BYTES`` of text and one block's n-grams at a time. A hot language is no key of anything but sums.
 
 Defined cases: null and empty texts have only the end mark to predict. A null language is the language ''. Languages
 without trusted text have no model: perplexity is that of the uniform distribution and all are kept. Repeated rows are
@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import stored, words_of
+from cadenza.session import bucketed
 
 ORDER = 4
 BEGIN, END = 2, 3
@@ -225,7 +226,7 @@ def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scored(docs: DataFrame, trusted: Column | None = None, text: str = "text") -> DataFrame:
     """doc_id, lang, trusted, n_bytes and bits per byte of each document."""
-    held = stored(blocks(docs, strictly_clean(F.col(text)) if trusted is None else trusted, text), "lm-blocks")
+    held = bucketed(blocks(docs, strictly_clean(F.col(text)) if trusted is None else trusted, text), "block", "llm-lm-blocks")
     pairs = held.select(F.explode(F.arrays_zip("grams", "counts")).alias("x")).select(F.col("x.grams").alias("g"), F.col("x.counts").alias("c"))
     sums = stored(pairs.groupBy("g").agg(F.sum("c").alias("c")), "lm-counts")
     known = stored(probabilities(sums.select("g"), sums.where("c > 0")).select("g", (-F.log2("p")).cast("float").alias("b")), "lm-bits")

@@ -69,6 +69,21 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Like ``materialize``, with rows dealt to as many buckets as there are shuffle partitions, by ``key``.
+
+    A join or grouping by the key reads the buckets as they are; only its other side is shuffled. The catalog's entry is
+    taken out again, the files stay.
+    """
+    spark = df.sparkSession
+    name = f"cadenza_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, key).option("path", scratch_path(spark, label)).saveAsTable(name)
+    rows = spark.read.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint for iterative plans."""
     shared_dir(df.sparkSession)

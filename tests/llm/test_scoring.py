@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cadenza.llm import licenses, perplexity, quality_rules, toxicity
 
@@ -160,6 +161,26 @@ def test_perplexity_by_the_textbook(spark, monkeypatch):
     assert perplexity.with_perplexity(docs.limit(0)).collect() == []
 
 
+def test_blocks_meet_their_answers_without_a_shuffle_of_texts(spark, monkeypatch):
+    """Only the answers are dealt by block, and repeated rows in many blocks are scored alike."""
+    monkeypatch.setattr(perplexity, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(perplexity, "CHUNK_BYTES", 1000)
+    rows = [(i, "some plain text about nothing " * (1 + i % 40), "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = perplexity.scored(docs, F.lit(True))
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        got = scored.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sum("Exchange hashpartitioning(block" in line for line in plan.splitlines()) == 1
+    assert sorted((r.doc_id, r.n_bytes) for r in got) == [(i, len(t)) for i, t, _ in rows]
+    assert len({round(r.bits, 9) for r in got}) == 40
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("cadenza_")]
+
+
 def test_licences(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [
